@@ -26,7 +26,7 @@ def q_align_time(spark, sf):
     left, right = align.align_time([a, b])
     return (left.withColumn("input", F.lit("soil"))
             .unionByName(right.withColumn("input", F.lit("price")))
-            .select("input", "date", "lat_i", "lon_i", rounded("value").alias("value")))
+            .select("input", "date", "lat_i", "lon_i", rounded("value", 4).alias("value")))
 
 
 def q_target_grid(spark, sf):
@@ -95,7 +95,7 @@ def q_assemble(spark, sf):
     out = align.assemble({"tmax": cube(g, "tmax"), "soil": cube(g, "soil"),
                           "price": cube(order_grid(spark, sf), "price")})
     return out.select("date", "lat_i", "lon_i", "lat", "lon",
-                      *(rounded(c).alias(c) for c in ("tmax", "soil", "price")))
+                      *(rounded(c, 4).alias(c) for c in ("tmax", "soil", "price")))
 
 
 def q_wrap(spark, sf):
@@ -109,10 +109,10 @@ QUERIES = {
     "align_time": (q_align_time, f"""
 WITH {GRID}, {ORDER_GRID},
 common AS (SELECT date FROM grid INTERSECT SELECT date FROM ogrid)
-SELECT 'soil' AS input, date, lat_i, lon_i, {r('soil')} AS value
+SELECT 'soil' AS input, date, lat_i, lon_i, {r('soil', 4)} AS value
 FROM grid WHERE date IN (SELECT date FROM common)
 UNION ALL
-SELECT 'price', date, lat_i, lon_i, {r('price')}
+SELECT 'price', date, lat_i, lon_i, {r('price', 4)}
 FROM ogrid WHERE date IN (SELECT date FROM common)"""),
     "choose_target_grid": (q_target_grid, f"""
 WITH {GRID},
@@ -130,8 +130,8 @@ FROM g"""),
     "regrid_outside": (q_regrid_outside, _regrid_sql(_axis_rows(OUTER))),
     "assemble": (q_assemble, f"""
 WITH {GRID}, {ORDER_GRID}
-SELECT date, lat_i, lon_i, grid.lat, grid.lon, {r('tmax')} AS tmax, {r('soil')} AS soil,
-       {r('price')} AS price
+SELECT date, lat_i, lon_i, grid.lat, grid.lon, {r('tmax', 4)} AS tmax, {r('soil', 4)} AS soil,
+       {r('price', 4)} AS price
 FROM grid JOIN ogrid USING (date, lat_i, lon_i)"""),
     "wrap_longitude": (q_wrap, f"""
 WITH {GRID}

@@ -17,13 +17,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def rounded(c: Column | str, digits: int = 6) -> Column:
+def rounded(c: Column | str, digits: int = 9) -> Column:
     """Rounded to hide the order of summation; + 0.0 removes negative zero."""
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c.cast("double"), digits) + F.lit(0.0)
 
 
-def r(expr: str, digits: int = 6) -> str:
+def r(expr: str, digits: int = 9) -> str:
     return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0E0"
 
 
@@ -218,14 +218,14 @@ INDEX_COLUMNS = ("GDD", "SPI", "SoilMoistureAnomaly", "EvapotranspirationRatio",
                  "HeatwaveIndex", "WindSpeed")
 
 
-def index_rows(df: DataFrame, *keys: str, digits: int = 6) -> DataFrame:
+def index_rows(df: DataFrame, *keys: str, digits: int = 9) -> DataFrame:
     """Keys and rounded indices."""
     return df.select(*keys, *(
         F.col(c) if c == "HeatwaveIndex" else rounded(c, digits).alias(c)
         for c in INDEX_COLUMNS if c in df.columns))
 
 
-def index_rows_sql(digits: int = 6, prefix: str = "") -> str:
+def index_rows_sql(digits: int = 9, prefix: str = "") -> str:
     return ", ".join(
         f'"{c}"' if c == "HeatwaveIndex" else f'{r(f"{prefix}{chr(34)}{c}{chr(34)}", digits)} AS "{c}"'
         for c in INDEX_COLUMNS)

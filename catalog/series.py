@@ -67,7 +67,7 @@ quarterly AS (
 
 def q_disaggregate(spark, sf):
     out = series.disaggregate_quarterly(quarterly(spark, sf))
-    return out.select("date", rounded("US_Exports_M_Bu").alias("US_Exports_M_Bu"),
+    return out.select("date", rounded("US_Exports_M_Bu", 4).alias("US_Exports_M_Bu"),
                       "US_Ending_Stocks_M_Bu")
 
 
@@ -76,7 +76,7 @@ def q_disaggregate_long(spark, sf):
     long = q.unpivot(["date"], q.columns[1:], "series", "value")
     long = long.withColumn("series", F.concat(F.lit("quarterly_supply."), "series"))
     out = series.disaggregate_quarterly(long)
-    return out.select("date", "series", rounded("value").alias("value"))
+    return out.select("date", "series", rounded("value", 4).alias("value"))
 
 
 def releases(spark, sf):
@@ -96,7 +96,7 @@ def q_resample(spark, sf):
     p = daily_prices(spark, sf)
     return reduce(lambda a, b: a.unionByName(b), (
         series.resample_weekly(p, how).select(
-            F.lit(how).alias("how"), "series", "week", rounded("value").alias("value"))
+            F.lit(how).alias("how"), "series", "week", rounded("value", 4).alias("value"))
         for how in ("sum", "mean", "last")))
 
 
@@ -104,7 +104,7 @@ def q_resample_mixed(spark, sf):
     """A method per series; series without one are averaged."""
     how = {f"nation_{i}": ("sum", "last")[i % 2] for i in range(20)}
     out = series.resample_weekly(daily_prices(spark, sf), how)
-    return out.select("series", "week", rounded("value").alias("value"))
+    return out.select("series", "week", rounded("value", 4).alias("value"))
 
 
 def _weekly(spark, sf):
@@ -134,7 +134,7 @@ def q_bfill_short(spark, sf):
 def q_return(spark, sf):
     filled = series.bfill(series.ffill(_dense(spark, sf)))
     return series.pct_change(filled).select(
-        "series", "week", "value", rounded("Target_Return").alias("Target_Return"))
+        "series", "week", "value", rounded("Target_Return", 6).alias("Target_Return"))
 
 
 CHAIN = f"""
@@ -205,11 +205,11 @@ FROM a CROSS JOIN unnest(range(0, 12)) AS t(m)"""),
     "disaggregate_quarterly": (q_disaggregate, f"""
 WITH {QUARTERLY}
 SELECT CAST(date + m * INTERVAL 1 MONTH AS DATE) AS date,
-       {r('flow / 3')} AS "US_Exports_M_Bu", level AS "US_Ending_Stocks_M_Bu"
+       {r('flow / 3', 4)} AS "US_Exports_M_Bu", level AS "US_Ending_Stocks_M_Bu"
 FROM quarterly CROSS JOIN unnest(range(0, 3)) AS t(m)"""),
     "disaggregate_long": (q_disaggregate_long, f"""
 WITH {QUARTERLY}
-SELECT CAST(date + m * INTERVAL 1 MONTH AS DATE) AS date, series, {r('value')} AS value
+SELECT CAST(date + m * INTERVAL 1 MONTH AS DATE) AS date, series, {r('value', 4)} AS value
 FROM (SELECT date, 'quarterly_supply.US_Exports_M_Bu' AS series, flow / 3 AS value
       FROM quarterly
       UNION ALL SELECT date, 'quarterly_supply.US_Ending_Stocks_M_Bu', level
@@ -234,16 +234,16 @@ WITH {PRICES}, w AS (
   SELECT series, {monday_sql('date')} AS week, sum(value) AS s, avg(value) AS a,
          arg_max(value, date) AS l
   FROM prices GROUP BY 1, 2)
-SELECT 'sum' AS how, series, week, {r('s')} AS value FROM w
-UNION ALL SELECT 'mean', series, week, {r('a')} FROM w
-UNION ALL SELECT 'last', series, week, {r('l')} FROM w"""),
+SELECT 'sum' AS how, series, week, {r('s', 4)} AS value FROM w
+UNION ALL SELECT 'mean', series, week, {r('a', 4)} FROM w
+UNION ALL SELECT 'last', series, week, {r('l', 4)} FROM w"""),
     "resample_mixed": (q_resample_mixed, f"""
 WITH {PRICES}, w AS (
   SELECT series, {monday_sql('date')} AS week, sum(value) AS s, avg(value) AS a,
          arg_max(value, date) AS l, CAST(substr(series, 8) AS INT) AS n
   FROM prices GROUP BY 1, 2)
 SELECT series, week,
-       {r('CASE WHEN n >= 20 THEN a WHEN n % 2 = 0 THEN s ELSE l END')} AS value FROM w"""),
+       {r('CASE WHEN n >= 20 THEN a WHEN n % 2 = 0 THEN s ELSE l END', 4)} AS value FROM w"""),
     "densify_weekly": (q_densify, f"WITH {CHAIN} SELECT series, week, value FROM dn"),
     "ffill": (q_ffill, f"WITH {CHAIN} SELECT series, week, value FROM ff"),
     "bfill": (q_bfill, f"WITH {CHAIN} SELECT series, week, value FROM bf"),
@@ -255,7 +255,7 @@ SELECT series, week, first_value(value IGNORE NULLS) OVER (
     "pct_change": (q_return, f"""
 WITH {CHAIN}
 SELECT series, week, value, {r('''(value / lag(value) OVER (
-         PARTITION BY series ORDER BY week) - 1) * 100''')} AS "Target_Return" FROM bf"""),
+         PARTITION BY series ORDER BY week) - 1) * 100''', 6)} AS "Target_Return" FROM bf"""),
     "read_series": (q_read_series, f"""
 WITH {QUARTERLY}
 SELECT 'farm_price.Price_USD_per_Bushel' AS series,

@@ -49,9 +49,14 @@ def _names():
 NAMES = _names()
 
 
+def digits(name: str) -> int:
+    """Belts are small means of means; the other series are large amounts."""
+    return 9 if "_Belt_" in name else 4
+
+
 def q_predictors(spark, sf):
     wide = weekly_predictors(_sources(spark, sf), START, END, names=NAMES)
-    return wide.select("Date", *(rounded(f"`{c}`", 4).alias(c)
+    return wide.select("Date", *(rounded(f"`{c}`", digits(c)).alias(c)
                                  for c in wide.columns if c != "Date"))
 
 
@@ -62,7 +67,7 @@ def q_merge(spark, sf):
     monthly = series.disaggregate_quarterly(long).withColumn("how", F.lit("mean"))
     daily = daily_prices(spark, sf).withColumn("how", F.lit("last"))
     wide = series.merge_weekly([daily, monthly], START, END, target="nation_7")
-    return wide.select("Date", *(rounded(f"`{c}`", 4).alias(c)
+    return wide.select("Date", *(rounded(f"`{c}`", digits(c)).alias(c)
                                  for c in wide.columns if c != "Date"))
 
 
@@ -92,7 +97,7 @@ rt AS (SELECT series, week, value, (value / lag(value) OVER (
 
 def wide_sql(names, target: str) -> str:
     one = "max(CASE WHEN series = '{n}' THEN value END)"
-    cols = ", ".join(f'{r(one.format(n=n), 4)} AS "{n}"' for n in names)
+    cols = ", ".join(f'{r(one.format(n=n), digits(n))} AS "{n}"' for n in names)
     gain = f"max(CASE WHEN series = '{target}' THEN gain END)"
     return (f'SELECT week AS "Date", {cols}, {r(gain, 4)} AS "Target_Return" '
             "FROM rt GROUP BY week")

@@ -38,6 +38,7 @@ def build_session(app: str = "croptide", cpus: int | None = None) -> SparkSessio
             .config("spark.sql.shuffle.partitions", str(cpus))
             .config("spark.driver.memory", "8g")
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
         )
     return builder.getOrCreate()
 
