@@ -17,7 +17,7 @@ from catalog.fixtures import (
     sparse_grid,
 )
 from croptide.operators import align, normalize
-from croptide.operators.align import GridAxes
+from croptide.operators.profile import GridAxes, grid_axes
 
 
 def q_align_time(spark, sf):
@@ -37,7 +37,7 @@ def q_target_grid(spark, sf):
         g.withColumn("latitude", F.col("latitude") + 0.5),  # ties with the second
         g.filter("longitude % 2 = 0"),
     ]
-    axes = [align.grid_axes(i) for i in inputs]
+    axes = [grid_axes(i) for i in inputs]
     best = align.choose_target_grid(axes)
     return spark.createDataFrame(
         [(i, len(a.lats), len(a.lons), a.cells, i == best) for i, a in enumerate(axes)],

@@ -59,7 +59,8 @@ def sparse_grid(spark: SparkSession, sf: str) -> DataFrame:
 def dense_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Every cell on every day; days without shipments are missing."""
     grid = sparse_grid(spark, sf)
-    frame = (grid.select("date").distinct()
+    days = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date"))
+    frame = (days.distinct()
              .select("date", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1)))
                      .alias("key"))
              .select("date", *cell_columns(F.col("key"))))
@@ -83,6 +84,10 @@ def as_input(df: DataFrame, variable: str, name: str) -> DataFrame:
                      F.col("lon").alias("longitude"), F.col(variable).alias(name))
 
 
+def nation_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "nation").select(*cell_columns(F.col("n_nationkey")))
+
+
 def cube(df: DataFrame, variable: str) -> DataFrame:
     return df.select("date", "lat_i", "lon_i", "lat", "lon",
                      F.col(variable).alias("value"))
@@ -137,7 +142,7 @@ grid AS (
   GROUP BY s_nationkey, CAST(l_shipdate AS DATE))"""
 
 DENSE = GRID + """,
-days AS (SELECT DISTINCT date FROM grid),
+days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem),
 cells AS (
   SELECT CAST(floor(k / 5.0) AS INT) AS lat_i, CAST(k % 5 AS INT) AS lon_i,
          CAST(floor(k / 5.0) AS DOUBLE) AS lat, CAST(k % 5 AS DOUBLE) AS lon

@@ -10,6 +10,7 @@ from catalog.fixtures import (
     INDEX_COLUMNS,
     dense_grid,
     index_sql,
+    nation_cells,
     r,
     regions,
     rounded,
@@ -32,21 +33,22 @@ hits AS (
             AND x1 + (lat - y1) * (x2 - x1) / (y2 - y1) > lon
   GROUP BY lat_i, lon_i, region HAVING count(*) % 2 = 1),
 mask AS (SELECT lat_i, lon_i, min(region) AS region FROM hits GROUP BY lat_i, lon_i)"""
-DENSE_MASK = MASK.format(source="dense")
+DENSE_MASK = MASK.format(source="cells")
 
 
-def _mask(spark, sf, cube):
-    return spatial.region_mask(spatial.grid_cells(cube), regions(spark, sf))
+def q_mask(spark, sf):
+    return spatial.region_mask(spatial.grid_cells(sparse_grid(spark, sf)),
+                               regions(spark, sf))
 
 
-def q_mask(spark, sf):
-    return _mask(spark, sf, sparse_grid(spark, sf))
+def _mask(spark, sf):
+    return spatial.region_mask(nation_cells(spark, sf), regions(spark, sf))
 
 
 def _stat(method):
     def run(spark, sf):
         g = dense_grid(spark, sf)
-        out = spatial.regional_aggregate(g, _mask(spark, sf, g), method,
+        out = spatial.regional_aggregate(g, _mask(spark, sf), method,
                                          ("soil", "precip"))
         return out.select("date", "region", *(rounded(c).alias(c)
                                               for c in ("soil", "precip")))
@@ -77,7 +79,7 @@ STATS = {
 
 def _indices_by_region(spark, sf):
     idx = indices.compute_indices(dense_grid(spark, sf))
-    rows = spatial.regional_aggregate(idx, _mask(spark, sf, idx))
+    rows = spatial.regional_aggregate(idx, _mask(spark, sf))
     return spatial.label_regions(rows, regions(spark, sf))
 
 
@@ -92,7 +94,7 @@ reg AS (
 
 def q_label(spark, sf):
     g = dense_grid(spark, sf)
-    rows = spatial.regional_aggregate(g, _mask(spark, sf, g), "sum", ("soil",))
+    rows = spatial.regional_aggregate(g, _mask(spark, sf), "sum", ("soil",))
     known = regions(spark, sf).filter("region <> 4")
     return spatial.label_regions(rows, known).select(
         "date", "region_abbr", rounded("soil").alias("soil"))
@@ -106,7 +108,8 @@ def q_select(spark, sf):
 def _pivot(variables, abbrs):
     def run(spark, sf):
         rows = _indices_by_region(spark, sf)
-        wide = spatial.pivot_regions(rows, variables, abbrs)
+        labels = spatial.region_labels(regions(spark, sf)) if abbrs is None else abbrs
+        wide = spatial.pivot_regions(rows, variables, labels)
         return wide.select("date", *(rounded(f"`{c}`").alias(c)
                                      for c in wide.columns if c != "date"))
     return run

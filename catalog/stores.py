@@ -74,7 +74,8 @@ def float_rows_sql() -> str:
 
 def q_index_run(spark, sf):
     """Seven input folders, soil on a coarser grid, through the whole index run."""
-    base, g = stage_path(spark, "inputs"), dense_grid(spark, sf)
+    base = stage_path(spark, "inputs")
+    g = materialize_stage(spark, lambda: dense_grid(spark, sf), "all", base)
     for key, column in zip(INPUT_FOLDERS, VARIABLES, strict=True):
         part = g.filter("lat_i % 2 = 0 AND lon_i % 2 = 0") if key == "soil" else g
         (as_input(part, column, VARIABLE_ALIASES[key][0])

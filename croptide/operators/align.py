@@ -9,51 +9,19 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from datetime import date as Date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.constants import CELL, CUBE_COORDS
-from croptide.session import pin_small
-
-MAX_AXIS = 100_000
-
-
-@dataclass(frozen=True)
-class GridAxes:
-    """Sorted distinct latitudes and longitudes of one grid."""
-
-    lats: tuple[float, ...]
-    lons: tuple[float, ...]
-
-    @property
-    def cells(self) -> int:
-        return len(self.lats) * len(self.lons)
-
-    @property
-    def shape(self) -> tuple[int, int]:
-        return len(self.lats), len(self.lons)
-
-
-def grid_axes(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> GridAxes:
-    """Read both axes in one pass over two columns, with their size checked."""
-    pairs = df.select(F.explode(F.array(
-        F.struct(F.lit("y").alias("axis"), F.col(lat).cast("double").alias("v")),
-        F.struct(F.lit("x").alias("axis"), F.col(lon).cast("double").alias("v")),
-    )).alias("p")).select("p.*").distinct().filter("v IS NOT NULL")
-    values = pairs.limit(2 * MAX_AXIS + 1).toArrow().to_pylist()
-    lats = tuple(sorted(r["v"] for r in values if r["axis"] == "y"))
-    lons = tuple(sorted(r["v"] for r in values if r["axis"] == "x"))
-    if max(len(lats), len(lons)) > MAX_AXIS or len(values) > 2 * MAX_AXIS:
-        raise ValueError(f"more than {MAX_AXIS} distinct coordinates: not a grid")
-    return GridAxes(lats, lons)
-
+from croptide.operators.profile import GridAxes, grid_axes
+from croptide.session import local_table, pin_small
 
 def _axis_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A broadcast axis table; its length is bounded by MAX_AXIS."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    return local_table(spark, rows, schema)
 
 
 def index_cells(df: DataFrame, axes: GridAxes, lat: str = "latitude",
@@ -75,6 +43,18 @@ def index_cells(df: DataFrame, axes: GridAxes, lat: str = "latitude",
                     F.col("_y").alias("lat"), F.col("_x").alias("lon")))
 
 
+def cells_of(spark: SparkSession, axes: GridAxes) -> DataFrame:
+    """All cells of a grid (lat_i, lon_i, lat, lon), made from its axes alone."""
+    x = local_table(spark, [(i, v) for i, v in enumerate(axes.lons)],
+                    "lon_i int, lon double")
+    y = spark.range(len(axes.lats)).select(
+        F.col("id").cast("int").alias("lat_i"),
+        F.explode(F.sequence(F.lit(0), F.lit(len(axes.lons) - 1))).alias("lon_i"))
+    lats = local_table(spark, [(i, v) for i, v in enumerate(axes.lats)],
+                       "lat_i int, lat double")
+    return y.join(lats, "lat_i").join(x, "lon_i").select("lat_i", "lon_i", "lat", "lon")
+
+
 def to_cube(df: DataFrame, key: str, axes: GridAxes | None = None,
             time: str = "valid_time") -> DataFrame:
     """A normalised grid (one data column ``key``) as a cube."""
@@ -84,17 +64,32 @@ def to_cube(df: DataFrame, key: str, axes: GridAxes | None = None,
         F.col(key).cast("double").alias("value"))
 
 
-def align_time(dfs: Sequence[DataFrame], date: str = "date") -> list[DataFrame]:
+def align_time(dfs: Sequence[DataFrame], date: str = "date",
+               days: Sequence[Sequence[Date]] | None = None) -> list[DataFrame]:
     """Keep only the times that every input has; space plays no part.
 
-    The common time axis is evaluated once and semi-joined into every input, as
-    a broadcast when its size allows.
+    Without ``days`` the common time axis is evaluated once and semi-joined into
+    every input, as a broadcast when its size allows. With the (bounded) time
+    axes of a profile no pass is needed, and inputs that hold no other days are
+    returned as they are.
     """
-    axes = [df.select(date).distinct() for df in dfs]
-    common = pin_small(reduce(DataFrame.intersect, axes))
-    if common.isEmpty():
+    if days is None:
+        axes = [df.select(date).distinct() for df in dfs]
+        common = pin_small(reduce(DataFrame.intersect, axes))
+        if common.isEmpty():
+            raise ValueError("the inputs have no time in common")
+        return [df.join(common, date, "left_semi") for df in dfs]
+    shared = sorted(set(days[0]).intersection(*days[1:]))
+    if not shared:
         raise ValueError("the inputs have no time in common")
-    return [df.join(common, date, "left_semi") for df in dfs]
+    common = day_table(dfs[0].sparkSession, shared, date)
+    return [df if len(own) == len(shared) else df.join(common, date, "left_semi")
+            for df, own in zip(dfs, days, strict=True)]
+
+
+def day_table(spark: SparkSession, days: Sequence[Date], date: str = "date") -> DataFrame:
+    """A broadcast table of days; its length is bounded by MAX_AXIS."""
+    return _axis_table(spark, [(d,) for d in days], f"{date} date")
 
 
 def choose_target_grid(grids: Sequence[GridAxes]) -> int:
@@ -143,7 +138,7 @@ def _target_table(spark: SparkSession, brackets: Sequence[tuple], name: str,
 
 
 def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = None,
-                    value: str = "value") -> DataFrame:
+                    days: DataFrame | None = None, value: str = "value") -> DataFrame:
     """Bilinear interpolation of a cube onto another grid.
 
     Every source row is sent to the (at most four) source rectangles it is a
@@ -154,7 +149,7 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
 
     Targets outside the source range, or with a missing corner of non-zero
     weight, are NULL. A grid that already has the target's coordinates is
-    returned unchanged.
+    returned unchanged. Giving ``source`` and ``days`` saves a pass each.
     """
     source = source or grid_axes(df, "lat", "lon")
     if source == target:
@@ -172,7 +167,7 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
     # Every rectangle of every day, so that a gap in the source becomes NULL
     # cells instead of absent ones.
     frame = (
-        df.select("date").distinct()
+        (df.select("date").distinct() if days is None else days)
         .select("date", F.explode(F.sequence(F.lit(-1), F.lit(len(source.lats) - 1)))
                 .alias("py"))
         .select("date", "py",

@@ -89,14 +89,19 @@ def validate_time(df: DataFrame, time: str = "valid_time") -> DataFrame:
     return df
 
 
-def wrap_longitude(df: DataFrame, lon: str = "longitude") -> DataFrame:
+def needs_wrap(low: float | None, high: float | None) -> bool:
+    return low is not None and low >= 0 and high > 180
+
+
+def wrap_longitude(df: DataFrame, lon: str = "longitude",
+                   bounds: tuple[float | None, float | None] | None = None) -> DataFrame:
     """0…360 longitudes to −180…180 (180 itself becomes −180).
 
-    Grids already in range are returned unchanged; the range comes from one
-    min/max aggregate over the longitude column alone.
+    Grids already in range are returned unchanged. The range is taken from
+    ``bounds`` or from one min/max aggregate over the longitude column alone.
     """
-    low, high = df.agg(F.min(lon), F.max(lon)).first()
-    if low is None or low < 0 or high <= 180:
+    low, high = bounds or df.agg(F.min(lon), F.max(lon)).first()
+    if not needs_wrap(low, high):
         return df
     return df.withColumn(lon, F.pmod(F.col(lon) + 180.0, F.lit(360.0)) - 180.0)
 

@@ -3,84 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.constants import CUBE_COORDS, INDEX_NAMES
 from croptide.operators.normalize import find_coords, find_time
+from croptide.operators.profile import GridProfile, profile_grids
+from croptide.session import local_table
 
 REPORT = "dataset string, check string, severity string, detail string"
 
 
-def _measure(name: str, df: DataFrame, time: str | None,
-             coords: Mapping[str, str | None]) -> DataFrame:
-    """One row of facts about one input, from one scan of its coordinates."""
-    none = F.lit(None)
-    lat, lon = coords["latitude"], coords["longitude"]
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        (F.min(time) if time else none).cast("string").alias("first"),
-        (F.max(time) if time else none).cast("string").alias("last"),
-        (F.count_distinct(lat) if lat else none).cast("long").alias("lats"),
-        (F.count_distinct(lon) if lon else none).cast("long").alias("lons"),
-    ).select(F.lit(name).alias("dataset"), "*")
+def coordinate_columns(df: DataFrame, expected_time: str = "valid_time"
+                       ) -> tuple[str | None, str | None, str | None]:
+    """The (time, lat, lon) columns of an input, None where there is none."""
+    try:
+        time = find_time(df.columns, expected_time)
+    except ValueError:
+        time = None
+    found = find_coords(df.columns)
+    return time, found["latitude"], found["longitude"]
 
 
 def diagnose(spark: SparkSession, inputs: Mapping[str, DataFrame | None],
-             expected_time: str = "valid_time") -> DataFrame:
+             expected_time: str = "valid_time",
+             profiles: Mapping[str, GridProfile] | None = None) -> DataFrame:
     """(dataset, check, severity, detail) over all inputs.
 
     Severity is info, warning or critical; each finding is its own row. A missing
-    input is critical and ends the report, as nothing after it can run. The facts
-    of all inputs come from one Spark job that returns one row per input.
+    input is critical and ends the report, as nothing after it can run. All facts
+    come from one pass over the coordinates of all inputs, or from ``profiles``.
     """
     absent = [name for name, df in inputs.items() if df is None]
     if absent:
-        return spark.createDataFrame(
-            [(n, "input", "critical", "missing") for n in absent], REPORT)
+        return local_table(spark, [(n, "input", "critical", "missing") for n in absent],
+                           REPORT)
+    columns = {n: coordinate_columns(df, expected_time) for n, df in inputs.items()}
+    profiles = profiles or profile_grids(inputs, columns)
 
-    times, coords = {}, {}
+    report, kinds, reference = [], {}, None
     for name, df in inputs.items():
-        try:
-            times[name] = find_time(df.columns, expected_time)
-        except ValueError:
-            times[name] = None
-        coords[name] = find_coords(df.columns)
-    facts = {r["dataset"]: r for r in reduce(DataFrame.unionByName, (
-        _measure(n, df, times[n], coords[n]) for n, df in inputs.items())).collect()}
-
-    report = []
-    reference = None
-    kinds = {}
-    for name, df in inputs.items():
-        fact, time = facts[name], times[name]
-
-        def note(check: str, severity: str, detail: str, name: str = name) -> None:
-            report.append((name, check, severity, detail))
-
-        note("rows", "info" if fact["rows"] else "warning", str(fact["rows"]))
+        (time, lat, lon), seen = columns[name], profiles[name]
+        report.append((name, "rows", "info" if seen.rows else "warning", str(seen.rows)))
         if time is None:
-            note("time", "critical", "no time column")
+            report.append((name, "time", "critical", "no time column"))
         else:
             kinds[name] = df.schema[time].dataType.simpleString()
-            note("time", "info" if time == expected_time else "warning", time)
-            if fact["rows"]:
-                note("range", "info", f"{fact['first']} .. {fact['last']}")
-        lat, lon = coords[name]["latitude"], coords[name]["longitude"]
+            report.append((name, "time", "info" if time == expected_time else "warning",
+                           time))
+            if seen.days:
+                report.append((name, "range", "info", f"{seen.days[0]} .. {seen.days[-1]}"))
+            if seen.missing_times:
+                report.append((name, "missing_time", "critical", str(seen.missing_times)))
         if lat is None or lon is None:
-            note("grid", "warning", "no latitude/longitude columns")
+            report.append((name, "grid", "warning", "no latitude/longitude columns"))
             continue
-        grid = (fact["lats"], fact["lons"], lat, lon)
+        grid = (len(seen.axes.lats), len(seen.axes.lons), lat, lon)
         reference = reference or grid
-        note("grid", "info" if grid == reference else "warning",
-             f"{fact['lats']} x {fact['lons']} ({lat}, {lon})")
+        report.append((name, "grid", "info" if grid == reference else "warning",
+                       f"{grid[0]} x {grid[1]} ({lat}, {lon})"))
     # All dates are proleptic Gregorian here; what can differ is the time type.
     if len(set(kinds.values())) > 1:
         for name, kind in kinds.items():
             report.append((name, "calendar", "warning", kind))
-    return spark.createDataFrame(report, REPORT)
+    return local_table(spark, report, REPORT)
 
 
 def has_critical(report: DataFrame) -> bool:

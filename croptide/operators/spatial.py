@@ -14,9 +14,11 @@ from croptide.constants import (
     CELL,
     INDEX_NAMES,
 )
-from croptide.session import broadcast_if_small, pin_small
+from croptide.session import pin_small
 
 MAX_REGIONS = 10_000
+# A mask up to this many cells (12 bytes each) is pinned; a larger one is joined.
+MASK_PIN_ROWS = 1_000_000
 
 
 def grid_cells(df: DataFrame) -> DataFrame:
@@ -108,7 +110,7 @@ def regional_aggregate(df: DataFrame, mask: DataFrame, method: str = "mean",
                        date: str = "date") -> DataFrame:
     """(date, region, variables…): unweighted, missing values skipped.
 
-    The mask is broadcast when a count shows it to be small; the groups combine
+    The mask is pinned when a count shows it to be small; the groups combine
     map-side, so a region that holds most cells shuffles one row per day and
     task.
     """
@@ -116,7 +118,7 @@ def regional_aggregate(df: DataFrame, mask: DataFrame, method: str = "mean",
     names = [v for v in variables if v in df.columns]
     return (
         df.select(date, *CELL, *names)
-        .join(broadcast_if_small(mask.select(*CELL, "region")), list(CELL))
+        .join(pin_small(mask.select(*CELL, "region"), MASK_PIN_ROWS), list(CELL))
         .groupBy(date, "region")
         .agg(*(reduce_(F.col(v)).cast("double").alias(v) for v in names))
     )

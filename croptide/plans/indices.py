@@ -12,13 +12,14 @@ from croptide.operators.align import (
     align_time,
     assemble,
     choose_target_grid,
-    grid_axes,
+    day_table,
     regrid_bilinear,
     to_cube,
 )
 from croptide.operators.indices import compute_indices
-from croptide.operators.normalize import normalize_coords, pick_variable, validate_time
-from croptide.operators.quality import diagnose, has_critical
+from croptide.operators.normalize import normalize_coords, pick_variable
+from croptide.operators.profile import GridProfile, profile_grids
+from croptide.operators.quality import coordinate_columns, diagnose, has_critical
 from croptide.sinks import clear_stages, materialize_stage, write_index_store
 from croptide.sources import read_grid
 
@@ -31,20 +32,30 @@ def _stage(key: str) -> str:
 
 def assemble_inputs(spark: SparkSession, grids: Mapping[str, DataFrame],
                     time_col: str = "valid_time", stage_dir: str | None = None,
-                    keep_stages: bool = False, force: bool = False) -> DataFrame:
+                    keep_stages: bool = False, force: bool = False,
+                    profiles: Mapping[str, GridProfile] | None = None) -> DataFrame:
     """Grids of any resolution as one wide table on the finest grid.
 
-    With ``keep_stages`` each regridded cube is written before the shuffle that
-    lines the variables up, where a materialised table costs no extra exchange.
+    One pass over the coordinates decides everything about axes; inputs that
+    already lie on the common days and the target grid are neither joined nor
+    regridded. With ``keep_stages`` each regridded cube is written before the
+    shuffle that lines the variables up, where a table costs no extra exchange.
     """
-    ready = {k: pick_variable(validate_time(normalize_coords(g), time_col), k,
-                              (time_col, "latitude", "longitude"))
+    keys = list(grids)
+    ready = {k: pick_variable(normalize_coords(g), k, (time_col, "latitude", "longitude"))
              for k, g in grids.items()}
-    axes = {k: grid_axes(g) for k, g in ready.items()}
-    keys = list(ready)
+    profiles = profiles or profile_grids(
+        ready, dict.fromkeys(keys, (time_col, "latitude", "longitude")))
+    late = [k for k in keys if profiles[k].missing_times]
+    if late:
+        raise ValueError(f"missing timestamps in {late}")
+    axes = {k: profiles[k].axes for k in keys}
     target = axes[keys[choose_target_grid([axes[k] for k in keys])]]
+    shared = sorted(set(profiles[keys[0]].days).intersection(
+        *(profiles[k].days for k in keys)))
     cubes = dict(zip(keys, align_time(
-        [to_cube(ready[k], k, axes[k], time_col) for k in keys]), strict=True))
+        [to_cube(ready[k], k, axes[k], time_col) for k in keys],
+        days=[profiles[k].days for k in keys]), strict=True))
     aligned = {}
     for k in keys:
         if axes[k] == target:
@@ -52,7 +63,7 @@ def assemble_inputs(spark: SparkSession, grids: Mapping[str, DataFrame],
             continue
 
         def moved(k: str = k) -> DataFrame:
-            return regrid_bilinear(cubes[k], target, axes[k])
+            return regrid_bilinear(cubes[k], target, axes[k], day_table(spark, shared))
 
         aligned[k] = (materialize_stage(spark, moved, _stage(k), stage_dir, force)
                       if keep_stages else moved())
@@ -79,12 +90,15 @@ def compute_index_store(spark: SparkSession, base_path: str, save_path: str,
         except FileNotFoundError as e:
             log.error("input %s: %s", key, e)
             grids[key] = None
-    report = diagnose(spark, grids, time_col)
-    if has_critical(report):
+    profiles = None
+    if all(g is not None for g in grids.values()):
+        profiles = profile_grids(grids, {
+            k: coordinate_columns(g, time_col) for k, g in grids.items()})
+    if has_critical(diagnose(spark, grids, time_col, profiles)):
         log.error("critical input problems; no store written")
         return None
     wide = assemble_inputs(spark, grids, time_col, stage_dir, keep_stages,
-                           force_recompute)
+                           force_recompute, profiles)
     write_index_store(compute_indices(wide), save_path)
     clear_stages(spark, stages, stage_dir)
     return save_path

@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.constants import CELL, CUBE_COORDS
-from croptide.operators.align import grid_axes, index_cells
+from croptide.operators.align import cells_of, index_cells
 from croptide.operators.normalize import (
     find_time,
     intervals_to_seconds,
+    needs_wrap,
     normalize_coords,
     to_utc_date,
     wrap_longitude,
 )
+from croptide.operators.profile import GridAxes, grid_axes
 from croptide.operators.spatial import (
-    grid_cells,
+    MASK_PIN_ROWS,
     label_regions,
     pivot_regions,
     region_labels,
@@ -32,9 +34,6 @@ from croptide.sources import read_index_store, read_regions
 
 log = logging.getLogger(__name__)
 
-# A mask up to this many cells is pinned; larger ones are planned as a join.
-MASK_PIN_ROWS = 1_000_000
-
 
 def regional_features(df: DataFrame, regions: DataFrame, method: str = "mean",
                       key_regions: Sequence[str] | None = None,
@@ -42,19 +41,25 @@ def regional_features(df: DataFrame, regions: DataFrame, method: str = "mean",
                       time_col: str = "time") -> DataFrame:
     """Wide daily features ``{variable}_{abbr}`` with a UTC ``Date``.
 
-    The store is read once for its cells and once for its values; everything
+    The store is read once for its axes and once for its values; everything
     after the regional aggregate has one row per day and region.
     """
     time = find_time(df.columns, time_col, ("time", "day", "date"))
-    df = wrap_longitude(normalize_coords(df.drop(*CELL, "year"), "substring"))
-    df = index_cells(df, grid_axes(df))
+    df = normalize_coords(df.drop(*CELL, "year"), "substring")
+    axes = grid_axes(df)
+    bounds = (axes.lons[0], axes.lons[-1]) if axes.lons else (None, None)
+    if needs_wrap(*bounds):
+        df = wrap_longitude(df, bounds=bounds)
+        axes = GridAxes(axes.lats, tuple(sorted(
+            (x + 180.0) % 360.0 - 180.0 for x in axes.lons)))
+    df = index_cells(df, axes)
     variables = [c for c in df.columns if c not in {*CUBE_COORDS, time}]
     # Intervals are numbers from here on, as no reducer but first/last takes them.
     if interval_roots:
         renamed = df.withColumnsRenamed({v: f"{v}_" for v in interval_roots if v in variables})
         df = intervals_to_seconds(renamed, interval_roots).withColumnsRenamed(
             {f"{v}_": v for v in interval_roots})
-    mask = pin_small(region_mask(grid_cells(df), regions), MASK_PIN_ROWS)
+    mask = pin_small(region_mask(cells_of(df.sparkSession, axes), regions), MASK_PIN_ROWS)
     rows = label_regions(
         regional_aggregate(df, mask, method, variables, date=time), regions)
     abbrs = region_labels(label_regions(mask.select("region").distinct(), regions))

@@ -5,15 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A pinned table passes through the driver and is broadcast, so it is only
 # pinned when a count proves that it has at most this many rows.
 PIN_ROW_LIMIT = 200_000
-# A broadcast hint without pinning is allowed up to this many narrow rows.
-BROADCAST_ROW_LIMIT = 1_000_000
 
+_ARROW = {"int": pa.int32(), "double": pa.float64(), "date": pa.date32(),
+          "string": pa.string(), "boolean": pa.bool_()}
 _STAGE_CONF = "spark.checkpoint.dir"
 _local_root: str | None = None
 
@@ -81,8 +83,10 @@ def pin_small(df: DataFrame, max_rows: int = PIN_ROW_LIMIT) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting; otherwise leave it to the planner."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)
+def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small driver-made table as a local relation, ready to broadcast."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    table = pa.table([pa.array(c, _ARROW[f.dataType.simpleString()])
+                      for c, f in zip(columns, fields, strict=True)], fields.names)
+    return F.broadcast(spark.createDataFrame(table, fields))
