@@ -43,16 +43,24 @@ def index_cells(df: DataFrame, axes: GridAxes, lat: str = "latitude",
                     F.col("_y").alias("lat"), F.col("_x").alias("lon")))
 
 
+def with_coordinates(df: DataFrame, axes: GridAxes) -> DataFrame:
+    """Attach ``lat``/``lon`` to axis positions."""
+    spark = df.sparkSession
+    y = local_table(spark, list(enumerate(axes.lats)), "lat_i int, lat double")
+    x = local_table(spark, list(enumerate(axes.lons)), "lon_i int, lon double")
+    return df.join(y, "lat_i").join(x, "lon_i")
+
+
 def cells_of(spark: SparkSession, axes: GridAxes) -> DataFrame:
-    """All cells of a grid (lat_i, lon_i, lat, lon), made from its axes alone."""
-    x = local_table(spark, [(i, v) for i, v in enumerate(axes.lons)],
-                    "lon_i int, lon double")
-    y = spark.range(len(axes.lats)).select(
-        F.col("id").cast("int").alias("lat_i"),
-        F.explode(F.sequence(F.lit(0), F.lit(len(axes.lons) - 1))).alias("lon_i"))
-    lats = local_table(spark, [(i, v) for i, v in enumerate(axes.lats)],
-                       "lat_i int, lat double")
-    return y.join(lats, "lat_i").join(x, "lon_i").select("lat_i", "lon_i", "lat", "lon")
+    """All cells of a grid (lat_i, lon_i, lat, lon), numbered from its axes alone.
+
+    A range has an exact size, so a join against it is planned on facts.
+    """
+    n = max(len(axes.lons), 1)
+    cells = spark.range(axes.cells).select(
+        F.floor(F.col("id") / n).cast("int").alias("lat_i"),
+        (F.col("id") % n).cast("int").alias("lon_i"))
+    return with_coordinates(cells, axes).select("lat_i", "lon_i", "lat", "lon")
 
 
 def to_cube(df: DataFrame, key: str, axes: GridAxes | None = None,
@@ -192,31 +200,32 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
     )
 
 
-def assemble(cubes: Mapping[str, DataFrame],
-             essential: Sequence[str] | None = None) -> DataFrame:
+def assemble(cubes: Mapping[str, DataFrame], essential: Sequence[str] | None = None,
+             axes: GridAxes | None = None) -> DataFrame:
     """Line the variables up on (date, cell): one wide row where all are present.
 
     One shuffle for all inputs instead of a chain of joins. It is by cell only,
     which also serves the grouping by (date, cell) and every later window over a
     cell, so the whole index run adds no other exchange. Partitions hold whole
     cells, whose size is bounded by the days on record; a cell-day that occurs
-    twice in one input is an error.
+    twice in one input is an error. With ``axes`` the coordinates stay out of the
+    shuffle and are attached afterwards.
     """
     missing = [k for k in (essential or cubes) if cubes.get(k) is None]
     if missing:
         raise ValueError(f"essential inputs missing: {missing}")
     names = list(cubes)
+    carried = [] if axes else ["lat", "lon"]
     rows = reduce(DataFrame.unionByName, (
-        df.select(*CUBE_COORDS, F.lit(k).alias("_input"), F.lit(1 << k).alias("_bit"),
-                  F.col("value"))
+        df.select("date", *CELL, *carried, F.lit(k).alias("_input"), "value")
         for k, df in enumerate(cubes.values())))
     at = F.col("_input")
     full = (
         rows.repartition(*CELL)
         .groupBy("date", *CELL)
         .agg(
-            F.min("lat").alias("lat"), F.min("lon").alias("lon"),
-            F.bit_or("_bit").alias("_seen"),
+            *(F.min(c).alias(c) for c in carried),
+            F.bit_or(F.expr("shiftleft(1, _input)")).alias("_seen"),
             F.count(F.lit(1)).alias("_rows"),
             *(F.max(F.when(at == k, F.col("value"))).alias(name)
               for k, name in enumerate(names)),
@@ -229,4 +238,6 @@ def assemble(cubes: Mapping[str, DataFrame],
         F.raise_error(F.concat(F.lit("duplicate grid rows on "),
                                F.col("date").cast("string"))).cast("date"),
     ).otherwise(F.col("date"))
+    if axes:
+        full = with_coordinates(full, axes)
     return full.select(date.alias("date"), *CUBE_COORDS[1:], *names)

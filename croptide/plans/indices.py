@@ -67,7 +67,7 @@ def assemble_inputs(spark: SparkSession, grids: Mapping[str, DataFrame],
 
         aligned[k] = (materialize_stage(spark, moved, _stage(k), stage_dir, force)
                       if keep_stages else moved())
-    return assemble(aligned)
+    return assemble(aligned, axes=target)
 
 
 def compute_index_store(spark: SparkSession, base_path: str, save_path: str,

@@ -33,6 +33,8 @@ def build_session(app: str = "croptide", cpus: int | None = None) -> SparkSessio
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the Python call site of every expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if cpus:
         builder = (
@@ -74,12 +76,12 @@ def pin_small(df: DataFrame, max_rows: int = PIN_ROW_LIMIT) -> DataFrame:
 
     At most ``max_rows + 1`` rows are fetched to learn the size. Within the
     bound the rows become a local relation, so the plan that produced them does
-    not run again in every join; beyond it the frame is returned unchanged and
-    the join falls back to a shuffle.
+    not run again in every join; beyond it the frame is kept lazy and marked for
+    a sort-merge join, so that no size estimate can broadcast it after all.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return df
+        return df.hint("merge")
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
