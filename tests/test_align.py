@@ -1,0 +1,164 @@
+import random
+from datetime import date
+
+import pytest
+from helpers import cube, day
+from pyspark.sql import functions as F
+
+from croptide.operators import align
+from croptide.operators.profile import GridAxes, grid_axes, profile_grids
+
+
+def test_profile_reads_axes_days_and_counts(spark):
+    df = spark.createDataFrame(
+        [(date(2020, 1, 2), 1.0, 5.0), (date(2020, 1, 1), 2.0, 5.0), (None, 1.0, 6.0)],
+        "t date, y double, x double")
+    p = profile_grids({"a": df, "b": df.limit(0)}, {"a": ("t", "y", "x"),
+                                                    "b": ("t", "y", None)})
+    assert p["a"].axes == GridAxes((1.0, 2.0), (5.0, 6.0))
+    assert p["a"].days == (date(2020, 1, 1), date(2020, 1, 2))
+    assert (p["a"].rows, p["a"].missing_times) == (3, 1)
+    assert (p["b"].rows, p["b"].days, p["b"].axes.cells) == (0, (), 0)
+
+
+def test_profile_refuses_scattered_points(spark, monkeypatch):
+    monkeypatch.setattr("croptide.operators.profile.MAX_AXIS", 10)
+    df = spark.range(50).selectExpr("double(id) AS latitude", "0D AS longitude")
+    with pytest.raises(ValueError, match="not a grid"):
+        grid_axes(df)
+
+
+def test_align_time_keeps_common_days(spark):
+    a = cube(spark, [(d, 0, 0, 1.0) for d in (0, 1, 2)])
+    b = cube(spark, [(d, 0, 0, 2.0) for d in (1, 2, 3)])
+    for days in (None, [[day(0), day(1), day(2)], [day(1), day(2), day(3)]]):
+        out = align.align_time([a, b], days=days)
+        assert [sorted(r["date"] for r in o.collect()) for o in out] == [
+            [day(1), day(2)]] * 2
+    with pytest.raises(ValueError, match="no time in common"):
+        align.align_time([a, b.filter("date > '2020-01-03'")])
+    with pytest.raises(ValueError, match="no time in common"):
+        align.align_time([a, b], days=[[day(0)], [day(3)]])
+    same = align.align_time([a, a], days=[[day(0)], [day(0)]])
+    assert same[0] is a
+
+
+def test_target_grid_first_wins_ties():
+    small, wide, tall = (GridAxes((0.0,), (0.0,)), GridAxes((0.0, 1.0), (0.0, 1.0, 2.0)),
+                         GridAxes((0.0, 1.0, 2.0), (0.0, 1.0)))
+    assert align.choose_target_grid([small, wide, tall]) == 1
+    assert align.choose_target_grid([tall, wide]) == 0
+    with pytest.raises(ValueError):
+        align.choose_target_grid([GridAxes((), ())])
+
+
+def field(spark, lats, lons, f, days=1):
+    rows = [(day(d), i, j, y, x, f(d, y, x)) for d in range(days)
+            for i, y in enumerate(lats) for j, x in enumerate(lons)]
+    return spark.createDataFrame(
+        rows, "date date, lat_i int, lon_i int, lat double, lon double, value double")
+
+
+def values(df):
+    return {(r["date"], r["lat"], r["lon"]): r["value"] for r in df.collect()}
+
+
+def test_regrid_same_grid_is_identity(spark):
+    axes = GridAxes((0.0, 1.0), (0.0, 2.0))
+    df = field(spark, axes.lats, axes.lons, lambda d, y, x: y + x)
+    assert values(align.regrid_bilinear(df, axes)) == values(df)
+
+
+def test_regrid_linear_field_is_exact_and_never_extrapolates(spark):
+    lats, lons = (-3.0, 0.0, 1.0, 5.0), (10.0, 10.5, 14.0)
+
+    def f(d, y, x):
+        return 2 * y - 3 * x + d
+
+    target = GridAxes((-3.5, -3.0, -1.0, 0.25, 5.0, 5.1), (9.9, 10.0, 10.25, 13.0, 14.0, 15.0))
+    got = values(align.regrid_bilinear(field(spark, lats, lons, f, 2), target))
+    assert len(got) == 2 * 36
+    for (d, y, x), v in got.items():
+        if lats[0] <= y <= lats[-1] and lons[0] <= x <= lons[-1]:
+            assert v == pytest.approx(f((d - day(0)).days, y, x))
+        else:
+            assert v is None
+
+
+def test_equal_shape_other_coordinates_is_still_regridded(spark):
+    df = field(spark, (0.0, 2.0), (0.0, 2.0), lambda d, y, x: y)
+    got = values(align.regrid_bilinear(df, GridAxes((0.0, 1.0), (0.0, 1.0))))
+    assert got[(day(0), 1.0, 1.0)] == 1.0
+
+
+def test_missing_corner_voids_only_cells_that_need_it(spark):
+    df = field(spark, (0.0, 1.0), (0.0, 1.0),
+               lambda d, y, x: None if (y, x) == (1.0, 1.0) else 4.0)
+    half = GridAxes((0.0, 0.5, 1.0), (0.0, 0.5, 1.0))
+    for source in (df, df.dropna()):  # a NULL row and an absent row are the same
+        got = values(align.regrid_bilinear(source, half))
+        assert got[(day(0), 0.0, 0.5)] == 4.0 and got[(day(0), 0.5, 0.0)] == 4.0
+        assert [got[(day(0), y, x)] for y, x in ((0.5, 0.5), (0.5, 1.0), (1.0, 0.5),
+                                                 (1.0, 1.0))] == [None] * 4
+        assert got[(day(0), 1.0, 0.0)] == 4.0 and len(got) == 9
+
+
+def test_regrid_random_fields_match_brute_force(spark):
+    rnd = random.Random(5)
+    lats = sorted({round(rnd.uniform(-9, 9), 2) for _ in range(6)})
+    lons = sorted({round(rnd.uniform(-9, 9), 2) for _ in range(7)})
+    source = {(y, x): None if rnd.random() < 0.15 else rnd.uniform(-5, 5)
+              for y in lats for x in lons}
+    ty = sorted({round(rnd.uniform(-10, 10), 2) for _ in range(12)} | set(lats[:2]))
+    tx = sorted({round(rnd.uniform(-10, 10), 2) for _ in range(12)} | set(lons[1:3]))
+
+    def ends(axis, t):
+        if not axis[0] <= t <= axis[-1]:
+            return None
+        if t in axis:
+            return [(t, 1.0)]
+        k = max(i for i, a in enumerate(axis) if a < t)
+        f = (t - axis[k]) / (axis[k + 1] - axis[k])
+        return [(axis[k], 1 - f), (axis[k + 1], f)]
+
+    def brute(y, x):
+        ey, ex = ends(lats, y), ends(lons, x)
+        if ey is None or ex is None:
+            return None
+        parts = [(wy * wx, source[a, b]) for a, wy in ey for b, wx in ex]
+        return None if any(v is None for _, v in parts) else sum(w * v for w, v in parts)
+
+    df = field(spark, lats, lons, lambda d, y, x: source[y, x])
+    got = values(align.regrid_bilinear(df, GridAxes(tuple(ty), tuple(tx))))
+    assert len(got) == len(ty) * len(tx)
+    for (_, y, x), v in got.items():
+        want = brute(y, x)
+        assert (v is None) == (want is None), (y, x)
+        assert v is None or v == pytest.approx(want)
+
+
+def test_assemble_is_an_inner_match_that_keeps_nulls(spark):
+    a = cube(spark, [(0, 0, 0, 1.0), (1, 0, 0, None), (2, 0, 0, 3.0)])
+    b = cube(spark, [(0, 0, 0, 5.0), (1, 0, 0, 6.0), (1, 0, 1, 7.0)])
+    for axes in (None, GridAxes((0.0,), (0.0, 1.0))):
+        got = align.assemble({"a": a, "b": b}, axes=axes).orderBy("date").collect()
+        assert [(r["date"], r["lat"], r["lon"], r["a"], r["b"]) for r in got] == [
+            (day(0), 0.0, 0.0, 1.0, 5.0), (day(1), 0.0, 0.0, None, 6.0)]
+    with pytest.raises(ValueError, match="missing"):
+        align.assemble({"a": a, "b": None})
+
+
+def test_assemble_refuses_duplicates(spark):
+    a = cube(spark, [(0, 0, 0, 1.0), (0, 0, 0, 2.0)])
+    with pytest.raises(Exception, match="duplicate grid rows on 2020-01-01"):
+        align.assemble({"a": a, "b": a.limit(1)}).collect()
+
+
+def test_cells_of_numbers_the_whole_grid(spark):
+    cells = align.cells_of(spark, GridAxes((1.0, 2.0), (5.0, 6.0, 7.0)))
+    assert cells.count() == 6
+    assert cells.filter("lat_i = 1 AND lon_i = 2").first()[2:] == (2.0, 7.0)
+    raw = cells.selectExpr("lat AS latitude", "lon AS longitude", "lat_i * 3 + lon_i AS n")
+    back = align.index_cells(raw, GridAxes((1.0, 2.0), (5.0, 6.0, 7.0)))
+    assert back.filter(F.col("n") != F.col("lat_i") * 3 + F.col("lon_i")).isEmpty()
+    assert back.count() == 6
