@@ -11,6 +11,7 @@ from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from datetime import date as Date
 from functools import reduce
+from math import floor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,19 +29,34 @@ def index_cells(df: DataFrame, axes: GridAxes, lat: str = "latitude",
                 lon: str = "longitude") -> DataFrame:
     """Add integer axis positions ``lat_i``/``lon_i`` and call the axes lat, lon.
 
-    Later joins use the integers, never floating-point coordinates. Equality on
-    the raw value is safe here because the axis was read from the same column.
+    Later joins use the integers, never floating-point coordinates.
     """
-    spark = df.sparkSession
-    y = _axis_table(spark, [(v, i) for i, v in enumerate(axes.lats)],
-                    "_y double, lat_i int")
-    x = _axis_table(spark, [(v, i) for i, v in enumerate(axes.lons)],
-                    "_x double, lon_i int")
     rest = [c for c in df.columns if c not in (lat, lon)]
-    return (df.join(y, F.col(lat).cast("double") == F.col("_y"))
-            .join(x, F.col(lon).cast("double") == F.col("_x"))
-            .select(*(F.col(f"`{c}`") for c in rest), "lat_i", "lon_i",
-                    F.col("_y").alias("lat"), F.col("_x").alias("lon")))
+    df = _with_position(df, lat, axes.lats, "lat_i")
+    df = _with_position(df, lon, axes.lons, "lon_i")
+    return df.select(*(F.col(f"`{c}`") for c in rest), "lat_i", "lon_i",
+                     F.col(lat).cast("double").alias("lat"),
+                     F.col(lon).cast("double").alias("lon"))
+
+
+def _with_position(df: DataFrame, column: str, axis: Sequence[float],
+                   name: str) -> DataFrame:
+    """Add the position of a coordinate on its axis; values off the axis go.
+
+    An evenly spaced axis needs no lookup: its position is arithmetic, checked
+    here on every axis value with the very operations Spark will run. Any other
+    axis is looked up by equality, which is safe because the axis was read from
+    the same column.
+    """
+    value = F.col(column).cast("double")
+    if len(axis) > 1:
+        first, step = axis[0], (axis[-1] - axis[0]) / (len(axis) - 1)
+        if all(floor((v - first) / step + 0.5) == i for i, v in enumerate(axis)):
+            position = F.floor((value - F.lit(first)) / F.lit(step) + F.lit(0.5))
+            return df.filter(value.isNotNull()).withColumn(name, position.cast("int"))
+    table = local_table(df.sparkSession, [(v, i) for i, v in enumerate(axis)],
+                        f"_at double, {name} int")
+    return df.join(table, value == F.col("_at")).drop("_at")
 
 
 def with_coordinates(df: DataFrame, axes: GridAxes) -> DataFrame:
@@ -126,17 +142,16 @@ def _brackets(source: Sequence[float], target: Sequence[float]) -> list[tuple]:
     return out
 
 
-def _corner_table(spark: SparkSession, source: Sequence[float],
-                  brackets: Sequence[tuple], name: str) -> DataFrame:
+def _corner_table(spark: SparkSession, brackets: Sequence[tuple],
+                  name: str) -> DataFrame:
     """Which intervals a source line serves, and as which end (0 low, 1 high)."""
     rows = set()
     for _, _, k, w in brackets:
         if k >= 0:
-            rows.add((source[k], k, 0))
+            rows.add((k, k, 0))
             if w > 0:
-                rows.add((source[k + 1], k, 1))
-    return _axis_table(spark, sorted(rows),
-                       f"_{name} double, p{name} int, end_{name} int")
+                rows.add((k + 1, k, 1))
+    return _axis_table(spark, sorted(rows), f"_{name} int, p{name} int, end_{name} int")
 
 
 def _target_table(spark: SparkSession, brackets: Sequence[tuple], name: str,
@@ -165,10 +180,11 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
     spark = df.sparkSession
     by, bx = _brackets(source.lats, target.lats), _brackets(source.lons, target.lons)
 
+    placed = _with_position(df.select("date", "lat", "lon", value), "lat", source.lats, "_y")
+    placed = _with_position(placed, "lon", source.lons, "_x")
     corners = (
-        df.select("date", "lat", "lon", value)
-        .join(_corner_table(spark, source.lats, by, "y"), F.col("lat") == F.col("_y"))
-        .join(_corner_table(spark, source.lons, bx, "x"), F.col("lon") == F.col("_x"))
+        placed.join(_corner_table(spark, by, "y"), "_y")
+        .join(_corner_table(spark, bx, "x"), "_x")
         .select("date", "py", "px", (F.col("end_y") * 2 + F.col("end_x")).alias("corner"),
                 F.col(value).alias("v"))
     )

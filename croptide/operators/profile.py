@@ -1,4 +1,4 @@
-"""What the axes of the inputs look like, from one pass over their coordinates.
+"""What the axes of the inputs look like, from one pass over each.
 
 Diagnostics, time alignment and the choice of a target grid all ask for the same
 three axes. They are small (thousands of values) however large the grid is, so
@@ -46,32 +46,42 @@ def profile_grids(grids: Mapping[str, DataFrame],
                   ) -> dict[str, GridProfile]:
     """Profiles of all inputs; ``columns`` names their (time, lat, lon).
 
-    Rows are counted per distinct axis value with map-side combining, so the
-    shuffle carries axis values only. More than MAX_AXIS values on one axis are
-    refused: that is not a grid.
+    Rows are counted by each axis in one pass per input (grouping sets) with
+    map-side combining, so the shuffles carry axis values only; all inputs run as
+    one job. More than MAX_AXIS values on one axis are refused: not a grid.
     """
-    def long(name: str, df: DataFrame) -> DataFrame:
+    def axes_of(name: str, df: DataFrame) -> DataFrame:
         time, lat, lon = columns[name]
-        none = F.lit(None).cast("double")
-        day = F.unix_date(F.col(f"`{time}`").cast("date")).cast("double") if time else none
-        y = F.col(f"`{lat}`").cast("double") if lat else none
-        x = F.col(f"`{lon}`").cast("double") if lon else none
-        return df.select(F.lit(name).alias("input"), F.explode(F.array(
-            F.struct(F.lit("t").alias("axis"), day.alias("v")),
-            F.struct(F.lit("y").alias("axis"), y.alias("v")),
-            F.struct(F.lit("x").alias("axis"), x.alias("v")))).alias("p")
-        ).select("input", "p.*")
-
-    counts = (reduce(DataFrame.unionByName, (long(n, g) for n, g in grids.items()))
-              .groupBy("input", "axis", "v").agg(F.count(F.lit(1)).alias("n")))
+        values = {
+            "t": F.unix_date(F.col(f"`{time}`").cast("date")).cast("double") if time else None,
+            "y": F.col(f"`{lat}`").cast("double") if lat else None,
+            "x": F.col(f"`{lon}`").cast("double") if lon else None,
+        }
+        axes = [a for a, v in values.items() if v is not None]
+        counted = (df.select(*(values[a].alias(a) for a in axes))
+                   .groupingSets([[a] for a in axes], *axes)
+                   .agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n")))
+        # In the grouping id, the one axis a row was grouped by has a zero bit.
+        every = (1 << len(axes)) - 1
+        axis, v = F.lit(None), F.lit(None).cast("double")
+        for i, a in enumerate(axes):
+            mine = F.col("g") == every ^ (1 << (len(axes) - 1 - i))
+            axis, v = F.when(mine, F.lit(a)).otherwise(axis), F.when(mine, F.col(a)).otherwise(v)
+        return counted.select(F.lit(name).alias("input"), axis.alias("axis"),
+                              v.alias("v"), "n")
+
+    counts = reduce(DataFrame.unionByName, (axes_of(n, g) for n, g in grids.items()))
     bound = 3 * (MAX_AXIS + 1) * len(grids)
     found = counts.limit(bound + 1).toArrow().to_pylist()
     values: dict[tuple[str, str], list[float]] = {}
     rows, missing = dict.fromkeys(grids, 0), dict.fromkeys(grids, 0)
+    first = {n: next(a for a, c in zip("tyx", columns[n], strict=True) if c)
+             for n in grids}
     for r in found:
-        if r["axis"] == "t":
+        if r["axis"] == first[r["input"]]:
             rows[r["input"]] += r["n"]
-            missing[r["input"]] += r["n"] if r["v"] is None else 0
+        if r["axis"] == "t" and r["v"] is None:
+            missing[r["input"]] += r["n"]
         if r["v"] is not None:
             values.setdefault((r["input"], r["axis"]), []).append(r["v"])
     if len(found) > bound or any(len(v) > MAX_AXIS for v in values.values()):
