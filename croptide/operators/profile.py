@@ -33,12 +33,13 @@ class GridAxes:
 
 @dataclass(frozen=True)
 class GridProfile:
-    """Axes, row count and missing timestamps of one input."""
+    """Axes, row count and rows without a time or a place of one input."""
 
     axes: GridAxes
     days: tuple[date, ...]
     rows: int
     missing_times: int
+    missing_places: int = 0
 
 
 def profile_grids(grids: Mapping[str, DataFrame],
@@ -74,7 +75,7 @@ def profile_grids(grids: Mapping[str, DataFrame],
     bound = 3 * (MAX_AXIS + 1) * len(grids)
     found = counts.limit(bound + 1).toArrow().to_pylist()
     values: dict[tuple[str, str], list[float]] = {}
-    rows, missing = dict.fromkeys(grids, 0), dict.fromkeys(grids, 0)
+    rows, missing, nowhere = (dict.fromkeys(grids, 0) for _ in range(3))
     first = {n: next(a for a, c in zip("tyx", columns[n], strict=True) if c)
              for n in grids}
     for r in found:
@@ -82,6 +83,8 @@ def profile_grids(grids: Mapping[str, DataFrame],
             rows[r["input"]] += r["n"]
         if r["axis"] == "t" and r["v"] is None:
             missing[r["input"]] += r["n"]
+        elif r["v"] is None:
+            nowhere[r["input"]] = max(nowhere[r["input"]], r["n"])
         if r["v"] is not None:
             values.setdefault((r["input"], r["axis"]), []).append(r["v"])
     if len(found) > bound or any(len(v) > MAX_AXIS for v in values.values()):
@@ -92,7 +95,8 @@ def profile_grids(grids: Mapping[str, DataFrame],
 
     return {n: GridProfile(
         GridAxes(axis(n, "y"), axis(n, "x")),
-        tuple(EPOCH + timedelta(days=int(d)) for d in axis(n, "t")), rows[n], missing[n])
+        tuple(EPOCH + timedelta(days=int(d)) for d in axis(n, "t")), rows[n], missing[n],
+        nowhere[n])
         for n in grids}
 
 

@@ -56,6 +56,8 @@ def diagnose(spark: SparkSession, inputs: Mapping[str, DataFrame | None],
                 report.append((name, "range", "info", f"{seen.days[0]} .. {seen.days[-1]}"))
             if seen.missing_times:
                 report.append((name, "missing_time", "critical", str(seen.missing_times)))
+        if seen.missing_places:
+            report.append((name, "missing_place", "critical", str(seen.missing_places)))
         if lat is None or lon is None:
             report.append((name, "grid", "warning", "no latitude/longitude columns"))
             continue

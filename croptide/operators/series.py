@@ -75,19 +75,22 @@ def disaggregate_quarterly(df: DataFrame, flows: Sequence[str] = SUPPLY_FLOWS,
 def hold_to_monthly(df: DataFrame, start: str, end: str) -> DataFrame:
     """Releases held on a monthly calendar until the next one, and past the last.
 
-    Months before the first release are NULL. Each release writes the months up
-    to the next release, so no calendar join and no separate fill is needed: one
-    shuffle by series.
+    Months before the first release are NULL. Releases are first reduced to the
+    last known one per month, which combines map-side and bounds a series by the
+    months on record; each month then writes the months up to the next one, so no
+    calendar join and no separate fill is needed.
     """
     first = F.trunc(F.lit(start).cast("date"), "MM")
     last = F.trunc(F.lit(end).cast("date"), "MM")
-    w = Window.partitionBy("series").orderBy("date")
+    value, month = F.col("value"), F.col("month")
+    monthly = df.groupBy("series", F.trunc("date", "MM").alias("month")).agg(
+        F.max_by(value, F.when(value.isNotNull(), F.col("date"))).alias("value"))
+    w = Window.partitionBy("series").orderBy("month")
     known = F.last("value", ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, 0))
-    month = F.trunc("date", "MM")
-    opening = F.lag("date").over(w).isNull()
-    until = F.add_months(F.trunc(F.lead("date").over(w), "MM"), -1)
-    spans = df.select(
+    opening = F.lag("month").over(w).isNull()
+    until = F.add_months(F.lead("month").over(w), -1)
+    spans = monthly.select(
         "series", month.alias("_from"), known.alias("value"),
         F.greatest(F.when(opening, F.least(first, month)).otherwise(month), first)
         .alias("_lo"),

@@ -76,6 +76,9 @@ def test_diagnose(spark):
     assert found["d", "grid"] == "warning" and found["e", "missing_time"] == "critical"
     assert found["e", "calendar"] == "warning"
     assert not quality.has_critical(quality.diagnose(spark, {"a": ok}))
+    lost = quality.diagnose(spark, {"a": ok.unionByName(
+        ok.withColumn("lat", F.lit(None).cast("double")))})
+    assert lost.filter("check = 'missing_place' AND detail = '1'").count() == 1
 
 
 def write(path, text):
