@@ -52,8 +52,8 @@ def targets(sources: DataFrame, ceiling: int = CEILING) -> DataFrame:
     level = left.cast("double") / rest
     open_ = level * F.col("weight") <= ceiling * F.col("source_size")
     placed = sources.withColumn("_level", level).withColumn("_open", open_)
-    # The first source that is not at its ceiling sets the level of all after it.
-    at = F.min(F.when(F.col("_open"), F.col("_level"))).over(everything)
+    # The first source that is not at its ceiling sets the level; later ones only lower it.
+    at = F.max(F.when(F.col("_open"), F.col("_level"))).over(everything)
     return (placed.withColumn("_at", at)
             .withColumn("target", F.least((F.col("source_size") * ceiling).cast("double"),
                                           F.coalesce(F.col("_at") * F.col("weight"),

@@ -25,7 +25,7 @@ levels AS (
 targets AS (
     SELECT source, source_size,
            least((source_size * 3)::DOUBLE,
-                 coalesce(min(CASE WHEN level * weight <= 3 * source_size THEN level END) OVER ()
+                 coalesce(max(CASE WHEN level * weight <= 3 * source_size THEN level END) OVER ()
                           * weight, (source_size * 3)::DOUBLE)) AS target
     FROM levels),
 rated AS (
