@@ -27,7 +27,7 @@ from croptide.constants import INPUT_FOLDERS, VARIABLE_ALIASES
 from croptide.operators.indices import compute_indices
 from croptide.plans.indices import compute_index_store
 from croptide.plans.observations import load_observations
-from croptide.plans.regional import process_regions_daily
+from croptide.plans.regional import process_regions_daily, regional_features
 from croptide.session import stage_path
 from croptide.sinks import (
     materialize_stage,
@@ -184,7 +184,25 @@ mixed AS (
          u_wind, v_wind
   FROM dense d JOIN moved USING (date, lat_i, lon_i))"""
 
+def q_wrap_cyclic(spark, sf):
+    """A store whose longitudes hold both 0 and 360: one meridian, every row once."""
+    g = dense_grid(spark, sf).select("date", F.col("lat").alias("latitude"),
+                                     (F.col("lon_i") * 90.0).alias("longitude"),
+                                     F.col("soil").alias("GDD"))
+    strip = spark.createDataFrame(
+        [(1, "CENTRE", [(-1.0, -1.0), (1.0, -1.0), (1.0, 9.0), (-1.0, 9.0)])],
+        "region int, region_abbr string, ring array<struct<x:double,y:double>>")
+    wide = regional_features(g, strip, "sum", time_col="date")
+    return wide.select(F.to_date("Date").alias("Date"), rounded("GDD_CENTRE").alias("total"))
+
+
+WRAP_CYCLIC_SQL = f"""
+WITH {DENSE}
+SELECT date AS "Date", {r('coalesce(sum(soil), 0)')} AS total
+FROM dense WHERE lon_i IN (0, 4) GROUP BY date"""
+
 QUERIES = {
+    "wrap_cyclic": (q_wrap_cyclic, WRAP_CYCLIC_SQL),
     "read_grid": (q_read_grid, f"""
 WITH {DENSE}
 SELECT date AS valid_time, lat AS latitude, lon AS longitude, soil AS swvl1 FROM dense"""),
@@ -219,16 +237,17 @@ SELECT r_regionkey AS region, r_name AS region_abbr, CAST(pos AS INT) AS pos,
        {r('r_regionkey + dx')} AS x, {r('y')} AS y
 FROM region CROSS JOIN (VALUES (0, -0.5E0, -0.5E0), (1, 0.5E0, -0.5E0),
   (2, 0.9E0, 4.5E0), (3, -0.1E0, 4.5E0), (4, -0.5E0, -0.5E0)) AS t(pos, dx, y)"""),
-    # The first request stored `value` for half a month, and that partition is kept.
+    # Local days of the local year 2024. The first request stored `value` for half a
+    # month, and those partitions are kept.
     "load_observations": (q_load_observations, f"""
-WITH {OBSERVATIONS}, d AS (
-  SELECT 'value' AS variable, valid_time, latitude, longitude, level, value
-  FROM obs WHERE day(valid_time) <= 15
+WITH {OBSERVATIONS}, local AS (
+  SELECT CAST(valid_time - INTERVAL 5 HOUR AS DATE) AS date, latitude, longitude, level, value
+  FROM obs),
+d AS (
+  SELECT 'value' AS variable, * FROM local WHERE day(date) <= 15
   UNION ALL
-  SELECT 'double_value', valid_time, latitude, longitude, level, value * 2 FROM obs),
-a AS (SELECT CAST(valid_time - INTERVAL 5 HOUR AS DATE) AS date, latitude, longitude, level,
-             variable, {r('max(value)')} AS value
-      FROM d GROUP BY 1, 2, 3, 4, 5),
-kept AS (SELECT DISTINCT year(date) AS year FROM a WHERE variable = 'value')
-SELECT date, latitude, longitude, level, variable, value, year(date) AS year FROM a"""),
+  SELECT 'double_value', date, latitude, longitude, level, value * 2 FROM local)
+SELECT date, latitude, longitude, level, variable, {r('max(value)')} AS value,
+       year(date) AS year
+FROM d WHERE year(date) = 2024 GROUP BY date, latitude, longitude, level, variable"""),
 }

@@ -6,11 +6,13 @@ Each is a plain comparison so that it reaches the Parquet scan.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from croptide.functions.calendar import parse_utc_offset
+
 
 def _listed(value) -> list:
     if isinstance(value, str) or not isinstance(value, Iterable):
@@ -27,21 +29,31 @@ def filter_bbox(df: DataFrame, bbox: Sequence[float], lat: str = "latitude",
 
 def filter_calendar(df: DataFrame, start_year: int, end_year: int,
                     months: Iterable | None = None, days: Iterable | None = None,
-                    time: str = "valid_time") -> DataFrame:
+                    time: str = "valid_time", utc_offset: str | None = None) -> DataFrame:
     """Whole years ``start_year … end_year``, optionally some months and days.
 
     Years are a range on the time column (pushed to the scan) and, where the
-    table is partitioned by ``year``, also on that column (prunes folders).
+    table is partitioned by ``year``, also on that column (prunes folders). With
+    ``utc_offset`` the calendar is the local one: the range is shifted by the
+    offset, and the year before or after may hold a few hours of it.
     """
+    minutes = parse_utc_offset(utc_offset) if utc_offset else 0
     t = F.col(time)
-    keep = ((t >= F.lit(date(start_year, 1, 1)))
-            & (t < F.lit(date(end_year + 1, 1, 1))))
+    if minutes:
+        shift = timedelta(minutes=minutes)
+        bounds = [F.lit(datetime(y, 1, 1) - shift).cast(df.schema[time].dataType)
+                  for y in (start_year, end_year + 1)]
+        local = t + F.make_dt_interval(mins=F.lit(minutes))
+    else:
+        bounds = [F.lit(date(y, 1, 1)) for y in (start_year, end_year + 1)]
+        local = t
+    keep = (t >= bounds[0]) & (t < bounds[1])
     if "year" in df.columns and time != "year":
-        keep &= F.col("year").between(start_year, end_year)
+        keep &= F.col("year").between(start_year - (minutes > 0), end_year + (minutes < 0))
     if months:
-        keep &= F.month(t).isin([int(m) for m in months])
+        keep &= F.month(local).isin([int(m) for m in months])
     if days:
-        keep &= F.dayofmonth(t).isin([int(d) for d in days])
+        keep &= F.dayofmonth(local).isin([int(d) for d in days])
     return df.filter(keep)
 
 

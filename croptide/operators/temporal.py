@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from croptide.constants import CELL
+from croptide.functions.calendar import parse_utc_offset
 
 DAILY_STATISTICS = {
     "daily_mean": F.avg,
@@ -20,15 +21,6 @@ DAILY_STATISTICS = {
 }
 
 
-def parse_utc_offset(text: str) -> int:
-    """Minutes east of UTC of a fixed zone like ``utc-05:00``."""
-    m = re.fullmatch(r"utc([+-])(\d{2}):(\d{2})", text.strip().lower())
-    if not m:
-        raise ValueError(f"not a fixed UTC offset: {text!r}")
-    minutes = int(m[2]) * 60 + int(m[3])
-    return -minutes if m[1] == "-" else minutes
-
-
 def parse_frequency(text: str | int) -> int:
     """Hours of ``6h``, ``6_hourly`` or ``6``."""
     m = re.fullmatch(r"(\d+)(h|_hourly)?", str(text).strip().lower())

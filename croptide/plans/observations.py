@@ -26,9 +26,13 @@ def select_observations(df: DataFrame, start_year: int, end_year: int,
                         times: Sequence[str] | None = None,
                         bbox: Sequence[float] | None = None, pressure_level=None,
                         product_type=None, frequency: str | int | None = None,
-                        time: str = "valid_time") -> DataFrame:
-    """All filters of one request, each only when asked for."""
-    df = filter_calendar(df, start_year, end_year, months, days, time)
+                        time: str = "valid_time", utc_offset: str | None = None) -> DataFrame:
+    """All filters of one request, each only when asked for.
+
+    ``utc_offset`` makes years, months and days local; ``times`` and
+    ``frequency`` are hours of the observations as they are.
+    """
+    df = filter_calendar(df, start_year, end_year, months, days, time, utc_offset)
     if bbox is not None:
         df = filter_bbox(df, bbox)
     if product_type is not None:
@@ -46,16 +50,22 @@ def load_observations(df: DataFrame, path: str, variables: Sequence[str] | str,
                       start_year: int, end_year: int, daily_stat: str = "daily_mean",
                       time_zone: str = "utc+00:00", overwrite: bool = False,
                       time: str = "valid_time", **request) -> str:
-    """Daily values of some variables as (variable, year) partitions.
+    """Daily values of some variables as (variable, level, year) partitions.
 
-    Partitions already stored are skipped unless ``overwrite``.
+    Years are those of the local days in ``time_zone``, for the choice of rows and
+    for the partitions alike, so a request never touches a neighbouring year.
+    The level is part of the partition where observations have one. Partitions
+    already stored are skipped unless ``overwrite``.
     """
     variables = [variables] if isinstance(variables, str) else list(variables)
-    chosen = select_observations(df, start_year, end_year, time=time, **request)
-    keys = [k for k in (*KEYS, "level") if k in df.columns]
+    chosen = select_observations(df, start_year, end_year, time=time,
+                                 utc_offset=time_zone, **request)
+    levels = ["level"] if "level" in df.columns else []
+    keys = [*KEYS, *levels]
     daily = reduce(DataFrame.unionByName, (
         daily_statistic(chosen, v, daily_stat, time_zone, keys, time)
         .withColumnRenamed(v, "value").withColumn("variable", F.lit(v))
         for v in variables))
     return write_missing_partitions(
-        daily.withColumn("year", F.year("date")), path, overwrite)
+        daily.withColumn("year", F.year("date")), path, overwrite,
+        ("variable", *levels, "year"))

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.constants import CUBE_COORDS, INDEX_ATTRIBUTES, INDEX_NAMES
+from croptide.session import stage_path
 
 log = logging.getLogger(__name__)
 
 # Existing (variable, year) keys up to this many become a pushed-down filter.
 MAX_LITERAL_KEYS = 5_000
+#: Fixed value: the folder of a NULL partition.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_index_store(df: DataFrame, path: str) -> str:
@@ -31,22 +35,31 @@ def write_index_store(df: DataFrame, path: str) -> str:
           .alias(n, metadata=INDEX_ATTRIBUTES[n]) for n in names),
         F.year("date").alias("year"))
     (typed.hint("rebalance", "year").sortWithinPartitions("year", *CUBE_COORDS[1:3], "date")
-     .write.mode("overwrite").partitionBy("year").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("year").parquet(path))
     return path
 
 
 def write_features(df: DataFrame, directory: str, base: str, parquet: bool = True,
-                   csv: bool = False) -> dict:
+                   csv: bool = False, order: str | None = None) -> dict:
     """A wide table as Parquet and/or CSV; returns status and paths.
 
     An empty table is not written. One format failing does not stop the other.
+    ``df`` is evaluated once, into a stage table that answers whether it is empty
+    and that both formats are written from.
     """
     result = {"status": "success", "message": "features written",
               "output_parquet_path": None, "output_csv_path": None,
               "error_details": None}
-    if len(df.columns) < 2 or df.isEmpty():
+    staged = None
+    if len(df.columns) >= 2:
+        path = stage_path(df.sparkSession, "features")
+        df.write.parquet(path)
+        staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    if staged is None or staged.isEmpty():
         result["message"] = "nothing to write: the table is empty"
         return result
+    df = staged.orderBy(order) if order else staged
 
     def attempt(key: str, path: str, write) -> None:
         try:
@@ -65,40 +78,57 @@ def write_features(df: DataFrame, directory: str, base: str, parquet: bool = Tru
     return result
 
 
-def existing_keys(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame | None:
-    """The key partitions already below ``path``, or None when there are none."""
-    try:
-        table = df.sparkSession.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return table.select(*keys).distinct()
+def existing_keys(spark: SparkSession, path: str, keys: Sequence[str]
+                  ) -> list[tuple[str | None, ...]]:
+    """The key partitions with a data file below ``path``, as folder names say.
+
+    Values are text (None for NULL). Only folders are listed, no file is opened.
+    """
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{k}=*" for k in keys), "*"]))
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = set()
+    for status in fs.globStatus(pattern) or ():
+        file = status.getPath()
+        if file.getName()[0] in "_.":
+            continue
+        parts, folder = [], file.getParent()
+        for key in reversed(keys):
+            value = unquote(folder.getName()[len(key) + 1:])
+            parts.append(None if value == _NULL_FOLDER else value)
+            folder = folder.getParent()
+        found.add(tuple(reversed(parts)))
+    return sorted(found, key=str)
 
 
 def write_missing_partitions(df: DataFrame, path: str, overwrite: bool = False,
-                             keys: Sequence[str] = ("variable", "year")) -> str:
-    """Write the (variable, year) partitions that do not exist yet.
+                             keys: Sequence[str] = ("variable", "year"),
+                             max_literal_keys: int | None = None) -> str:
+    """Write the partitions (of variable and year by default) that do not exist yet.
 
     Existing ones are kept and their rows are not even read where the input is
-    partitioned alike, because the kept keys become a filter. ``overwrite``
-    replaces the partitions that occur in ``df`` and leaves all others alone.
+    partitioned alike, because up to ``max_literal_keys`` kept keys become a
+    filter; more are an anti-join. ``overwrite`` replaces the partitions that
+    occur in ``df`` and leaves all others alone.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    have = None if overwrite else existing_keys(df, path, keys)
-    if have is not None:
-        done = have.limit(MAX_LITERAL_KEYS + 1).collect()
-        if len(done) > MAX_LITERAL_KEYS:
-            df = df.join(have, keys, "left_anti")
-        elif done:
-            kept = F.lit(False)
-            for row in done:
-                match = F.lit(True)
-                for k in keys:
-                    match &= F.col(k).eqNullSafe(F.lit(row[k]))
-                kept |= match
-            df = df.filter(~kept)
+    max_literal_keys = max_literal_keys or MAX_LITERAL_KEYS
+    done = [] if overwrite else existing_keys(df.sparkSession, path, keys)
+    if len(done) > max_literal_keys:
+        have = df.sparkSession.createDataFrame(
+            done, ", ".join(f"_have_{k} string" for k in keys))
+        same = [F.col(k).cast("string").eqNullSafe(F.col(f"_have_{k}")) for k in keys]
+        df = df.join(have, reduce(lambda a, b: a & b, same), "left_anti")
+    elif done:
+        kept = F.lit(False)
+        for row in done:
+            match = F.lit(True)
+            for k, value in zip(keys, row, strict=True):
+                # Of the column's own type, so that the filter reaches the scan.
+                match &= F.col(k).eqNullSafe(F.lit(value).cast(df.schema[k].dataType))
+            kept |= match
+        df = df.filter(~kept)
     (df.select(*rest, *keys).hint("rebalance", *keys)
      .write.mode("overwrite" if overwrite else "append")
      .option("partitionOverwriteMode", "dynamic")
