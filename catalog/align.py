@@ -61,7 +61,7 @@ def q_regrid_outside(spark, sf):
     return out.select("date", "lat_i", "lon_i", rounded("value").alias("soil"))
 
 
-def _regrid_sql(axis: str, extra: str = "") -> str:
+def _regrid_sql(axis: str, extra: str = "", digits: int = 9) -> str:
     """Weights per axis, then a weighted sum over corners of non-zero weight."""
     return f"""
 WITH {GRID},
@@ -80,7 +80,7 @@ x AS (SELECT g.date, tlat, tlon, sum(w * soil) AS x, count(soil) AS k
       FROM grid g JOIN st ON g.lat_i = st.lat_i AND g.lon_i = st.lon_i
       GROUP BY g.date, tlat, tlon)
 SELECT dt.date, a.j AS lat_i, b.j AS lon_i, {extra}
-       {r('CASE WHEN x.k = sz.n THEN x.x END')} AS soil
+       {r('CASE WHEN x.k = sz.n THEN x.x END', digits)} AS soil
 FROM dt CROSS JOIN t a CROSS JOIN t b
 LEFT JOIN sz ON sz.tlat = a.j AND sz.tlon = b.j
 LEFT JOIN x ON x.date = dt.date AND x.tlat = a.j AND x.tlon = b.j"""
@@ -105,6 +105,18 @@ def q_wrap(spark, sf):
                       "soil")
 
 
+THIRDS = (0.0, 1 / 3, 2 / 3, 1.0, 2.0, 3.0, 3.7, 4.0)
+
+
+def q_regrid_float(spark, sf):
+    """Source axes that went through FLOAT, on a target in DOUBLE: nodes are nodes."""
+    g = cube(sparse_grid(spark, sf), "soil")
+    noisy = g.withColumns({c: ((F.col(c) + 0.1).cast("float") - F.lit(0.1).cast("float"))
+                           .cast("double") for c in ("lat", "lon")})
+    out = align.regrid_bilinear(noisy, GridAxes(THIRDS, THIRDS))
+    return out.select("date", "lat_i", "lon_i", rounded("value", 4).alias("soil"))
+
+
 QUERIES = {
     "align_time": (q_align_time, f"""
 WITH {GRID}, {ORDER_GRID},
@@ -127,6 +139,7 @@ SELECT CAST(input AS INT) AS input, CAST(y AS INT) AS lats, CAST(x AS INT) AS lo
 FROM g"""),
     "regrid_bilinear": (q_regrid, _regrid_sql(
         _axis_rows(HALF), "a.v AS lat, b.v AS lon,")),
+    "regrid_float_axes": (q_regrid_float, _regrid_sql(_axis_rows(THIRDS), digits=4)),
     "regrid_outside": (q_regrid_outside, _regrid_sql(_axis_rows(OUTER))),
     "assemble": (q_assemble, f"""
 WITH {GRID}, {ORDER_GRID}

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.constants import CELL, CUBE_COORDS
-from croptide.operators.profile import GridAxes, grid_axes
+from croptide.operators.profile import GridAxes, grid_axes, tolerance
 from croptide.session import local_table, pin_small
 
+
 def _axis_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A broadcast axis table; its length is bounded by MAX_AXIS."""
     return local_table(spark, rows, schema)
@@ -128,17 +129,23 @@ def _brackets(source: Sequence[float], target: Sequence[float]) -> list[tuple]:
     """(target position, target value, source interval, weight of its upper end).
 
     Interval k spans source k … k+1. A target outside the source range gets
-    interval −1 and no weight.
+    interval −1 and no weight. A target within rounding noise of a source node
+    (the edges included) lies on it.
     """
     out = []
+    near = tolerance(source)
     for i, t in enumerate(target):
+        at = bisect_right(source, t)
+        node = min(range(max(at - 1, 0), min(at + 1, len(source))),
+                   key=lambda n: abs(source[n] - t), default=None)
+        if node is not None and abs(source[node] - t) <= near:
+            out.append((i, t, node, 0.0))
+            continue
         if not source or t < source[0] or t > source[-1]:
             out.append((i, t, -1, None))
             continue
-        k = bisect_right(source, t) - 1
-        on_node = t == source[k]
-        w = 0.0 if on_node else (t - source[k]) / (source[k + 1] - source[k])
-        out.append((i, t, k, w))
+        k = at - 1
+        out.append((i, t, k, (t - source[k]) / (source[k + 1] - source[k])))
     return out
 
 
@@ -160,6 +167,14 @@ def _target_table(spark: SparkSession, brackets: Sequence[tuple], name: str,
                        f"p{name} int, {axis}_i int, {axis} double, w{name} double")
 
 
+def snap_cells(df: DataFrame, source: GridAxes, target: GridAxes, value: str = "value"
+               ) -> DataFrame:
+    """A cube whose axes equal the target's up to rounding, with the target's."""
+    placed = _with_position(df.select("date", "lat", "lon", value), "lat", source.lats, "lat_i")
+    placed = _with_position(placed, "lon", source.lons, "lon_i").drop("lat", "lon")
+    return with_coordinates(placed, target).select(*CUBE_COORDS, F.col(value))
+
+
 def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = None,
                     days: DataFrame | None = None, value: str = "value") -> DataFrame:
     """Bilinear interpolation of a cube onto another grid.
@@ -171,12 +186,16 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
     never larger than the target the engine picks.
 
     Targets outside the source range, or with a missing corner of non-zero
-    weight, are NULL. A grid that already has the target's coordinates is
-    returned unchanged. Giving ``source`` and ``days`` saves a pass each.
+    weight, are NULL. A cell-day that occurs twice is an error. A grid that
+    already has the target's coordinates is returned unchanged, one that has them
+    up to rounding takes the target's values. Giving ``source`` and ``days``
+    saves a pass each.
     """
     source = source or grid_axes(df, "lat", "lon")
     if source == target:
         return df.select(*CUBE_COORDS, F.col(value))
+    if source.same_as(target):
+        return snap_cells(df, source, target, value)
     spark = df.sparkSession
     by, bx = _brackets(source.lats, target.lats), _brackets(source.lons, target.lons)
 
@@ -199,8 +218,15 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
         .select("*", F.lit(None).cast("int").alias("corner"),
                 F.lit(None).cast("double").alias("v"))
     )
-    patches = corners.unionByName(frame).groupBy("date", "py", "px").agg(*(
-        F.max(F.when(F.col("corner") == k, F.col("v"))).alias(f"v{k}") for k in range(4)))
+    def corner(k: int):
+        mine = F.col("corner") == k
+        repeated = F.raise_error(F.concat(F.lit("duplicate grid rows on "),
+                                          F.col("date").cast("string"))).cast("double")
+        return F.when(F.count_if(mine) > 1, repeated).otherwise(
+            F.max(F.when(mine, F.col("v")))).alias(f"v{k}")
+
+    patches = corners.unionByName(frame).groupBy("date", "py", "px").agg(
+        *(corner(k) for k in range(4)))
 
     wy, wx = F.col("wy"), F.col("wx")
     weights = [(1 - wy) * (1 - wx), (1 - wy) * wx, wy * (1 - wx), wy * wx]

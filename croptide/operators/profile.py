@@ -7,10 +7,11 @@ one aggregate over all inputs fetches them with their sizes checked.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,22 @@ class GridAxes:
     def cells(self) -> int:
         return len(self.lats) * len(self.lons)
 
+    def same_as(self, other: GridAxes) -> bool:
+        """Whether both have the same nodes, up to rounding noise."""
+        return all(
+            len(a) == len(b) and all(abs(x - y) <= tolerance(b) for x, y in zip(a, b, strict=True))
+            for a, b in ((self.lats, other.lats), (self.lons, other.lons)))
+
+
+def tolerance(axis: Sequence[float]) -> float:
+    """How far two values of one axis may lie apart and still be one node.
+
+    A thousandth of the smallest step, which is more than FLOAT rounding of
+    degrees on any grid coarser than 0.05; a single node has a fixed allowance.
+    """
+    steps = [b - a for a, b in pairwise(axis)]
+    return 1e-3 * min(steps) if steps else 1e-5
+
 
 @dataclass(frozen=True)
 class GridProfile:
@@ -43,13 +60,14 @@ class GridProfile:
 
 
 def profile_grids(grids: Mapping[str, DataFrame],
-                  columns: Mapping[str, tuple[str | None, str | None, str | None]]
-                  ) -> dict[str, GridProfile]:
+                  columns: Mapping[str, tuple[str | None, str | None, str | None]],
+                  max_axis: int | None = None) -> dict[str, GridProfile]:
     """Profiles of all inputs; ``columns`` names their (time, lat, lon).
 
     Rows are counted by each axis in one pass per input (grouping sets) with
     map-side combining, so the shuffles carry axis values only; all inputs run as
-    one job. More than MAX_AXIS values on one axis are refused: not a grid.
+    one job. Axes pass through the driver, so more than ``max_axis`` (default:
+    ``MAX_AXIS``) values on one are refused; a finer grid needs a larger bound.
     """
     def axes_of(name: str, df: DataFrame) -> DataFrame:
         time, lat, lon = columns[name]
@@ -72,7 +90,8 @@ def profile_grids(grids: Mapping[str, DataFrame],
                               v.alias("v"), "n")
 
     counts = reduce(DataFrame.unionByName, (axes_of(n, g) for n, g in grids.items()))
-    bound = 3 * (MAX_AXIS + 1) * len(grids)
+    max_axis = max_axis or MAX_AXIS
+    bound = 3 * (max_axis + 1) * len(grids)
     found = counts.limit(bound + 1).toArrow().to_pylist()
     values: dict[tuple[str, str], list[float]] = {}
     rows, missing, nowhere = (dict.fromkeys(grids, 0) for _ in range(3))
@@ -87,8 +106,8 @@ def profile_grids(grids: Mapping[str, DataFrame],
             nowhere[r["input"]] = max(nowhere[r["input"]], r["n"])
         if r["v"] is not None:
             values.setdefault((r["input"], r["axis"]), []).append(r["v"])
-    if len(found) > bound or any(len(v) > MAX_AXIS for v in values.values()):
-        raise ValueError(f"an input has more than {MAX_AXIS} values on one axis: not a grid")
+    if len(found) > bound or any(len(v) > max_axis for v in values.values()):
+        raise ValueError(f"an input has more than {max_axis} values on one axis: not a grid")
 
     def axis(name: str, a: str) -> tuple[float, ...]:
         return tuple(sorted(values.get((name, a), ())))

@@ -20,27 +20,32 @@ from croptide.operators.indices import compute_indices
 from croptide.operators.normalize import normalize_coords, pick_variable
 from croptide.operators.profile import GridProfile, profile_grids
 from croptide.operators.quality import coordinate_columns, diagnose, has_critical
-from croptide.sinks import clear_stages, materialize_stage, write_index_store
+from croptide.sinks import clear_stages, fingerprint, materialize_stage, write_index_store
 from croptide.sources import read_grid
 
 log = logging.getLogger(__name__)
 
 
-def _stage(key: str) -> str:
-    return f"cube_{key}"
+def _stage(key: str, *inputs) -> str:
+    """A stage name that changes with whatever the cube is made of."""
+    return f"cube_{key}_{fingerprint(*inputs)}"
 
 
 def assemble_inputs(spark: SparkSession, grids: Mapping[str, DataFrame],
                     time_col: str = "valid_time", stage_dir: str | None = None,
                     keep_stages: bool = False, force: bool = False,
-                    profiles: Mapping[str, GridProfile] | None = None) -> DataFrame:
+                    profiles: Mapping[str, GridProfile] | None = None,
+                    made: list[str] | None = None) -> DataFrame:
     """Grids of any resolution as one wide table on the finest grid.
 
     One pass over the coordinates decides everything about axes; inputs that
     already lie on the common days and the target grid are neither joined nor
     regridded. With ``keep_stages`` each regridded cube is written before the
     shuffle that lines the variables up, where a table costs no extra exchange.
+    Stages are named by their input's files, the target grid and the days, so
+    other inputs never find them; ``made`` collects the names.
     """
+    made = [] if made is None else made
     keys = list(grids)
     ready = {k: pick_variable(normalize_coords(g), k, (time_col, "latitude", "longitude"))
              for k, g in grids.items()}
@@ -49,6 +54,9 @@ def assemble_inputs(spark: SparkSession, grids: Mapping[str, DataFrame],
     late = [k for k in keys if profiles[k].missing_times]
     if late:
         raise ValueError(f"missing timestamps in {late}")
+    lost = [k for k in keys if profiles[k].missing_places]
+    if lost:
+        raise ValueError(f"rows without latitude or longitude in {lost}")
     axes = {k: profiles[k].axes for k in keys}
     target = axes[keys[choose_target_grid([axes[k] for k in keys])]]
     shared = sorted(set(profiles[keys[0]].days).intersection(
@@ -58,15 +66,18 @@ def assemble_inputs(spark: SparkSession, grids: Mapping[str, DataFrame],
         days=[profiles[k].days for k in keys]), strict=True))
     aligned = {}
     for k in keys:
-        if axes[k] == target:
-            aligned[k] = cubes[k]
+        if axes[k].same_as(target):
+            aligned[k] = cubes[k]  # cells are numbered alike
             continue
 
         def moved(k: str = k) -> DataFrame:
             return regrid_bilinear(cubes[k], target, axes[k], day_table(spark, shared))
 
-        aligned[k] = (materialize_stage(spark, moved, _stage(k), stage_dir, force)
-                      if keep_stages else moved())
+        if not keep_stages:
+            aligned[k] = moved()
+            continue
+        made.append(_stage(k, ready[k], axes[k], target, shared))
+        aligned[k] = materialize_stage(spark, moved, made[-1], stage_dir, force)
     return assemble(aligned, axes=target)
 
 
@@ -77,12 +88,11 @@ def compute_index_store(spark: SparkSession, base_path: str, save_path: str,
     """Read the seven folders below ``base_path`` and write all six indices.
 
     Returns the store path, or None when the diagnostics find a critical
-    problem. A failed run resumes from the stages it finished; they are removed
-    on success and, with ``force_recompute``, before the start.
+    problem. A failed run resumes from the stages it finished, which only a run
+    over the same files finds; with ``force_recompute`` they are written anew. A
+    run that succeeds removes its stages.
     """
-    stages = [_stage(k) for k in INPUT_FOLDERS]
-    if force_recompute:
-        clear_stages(spark, stages, stage_dir)
+    stages: list[str] = []
     grids: dict[str, DataFrame | None] = {}
     for key, folder in INPUT_FOLDERS.items():
         try:
@@ -98,7 +108,7 @@ def compute_index_store(spark: SparkSession, base_path: str, save_path: str,
         log.error("critical input problems; no store written")
         return None
     wide = assemble_inputs(spark, grids, time_col, stage_dir, keep_stages,
-                           force_recompute, profiles)
+                           force_recompute, profiles, stages)
     write_index_store(compute_indices(wide), save_path)
     clear_stages(spark, stages, stage_dir)
     return save_path

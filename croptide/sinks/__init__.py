@@ -1,11 +1,11 @@
 """Writers: index store, feature tables, missing partitions, stages."""
 
-from croptide.sinks.stages import clear_stages, materialize_stage
+from croptide.sinks.stages import clear_stages, fingerprint, materialize_stage
 from croptide.sinks.tables import (
     write_features,
     write_index_store,
     write_missing_partitions,
 )
 
-__all__ = ["clear_stages", "materialize_stage", "write_features",
+__all__ = ["clear_stages", "fingerprint", "materialize_stage", "write_features",
            "write_index_store", "write_missing_partitions"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,9 @@ def materialize_stage(spark: SparkSession, make: Callable[[], DataFrame], name:
     The table lies in the shared folder of ``spark.checkpoint.dir``, so later
     steps read files instead of recomputing when executors are lost. A stage
     without its success marker, or one that cannot be read, is computed again.
+    The name has to say what the stage is made of (``fingerprint``). A stage is
+    written aside and then renamed, so of two runs that make it at once the
+    first one's stays and neither sees half of the other's.
     """
     path = _folder(spark, name, directory)
     fs, marker = _file_system(spark, f"{path}/_SUCCESS")
@@ -36,8 +41,34 @@ def materialize_stage(spark: SparkSession, make: Callable[[], DataFrame], name:
             return spark.read.parquet(path)
         except Exception as e:  # unreadable stages are recomputed
             log.warning("stage %s ignored: %s", name, e)
-    make().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    aside = f"{path}.{uuid.uuid4().hex[:12]}"
+    make().write.parquet(aside)
+    target = marker.getParent()
+    if fs.exists(marker) and not force:
+        return spark.read.parquet(aside)  # another run was faster; same rows
+    fs.delete(target, True)
+    done = fs.rename(_file_system(spark, aside)[1], target)
+    return spark.read.parquet(path if done else aside)
+
+
+def fingerprint(*inputs) -> str:
+    """A short digest of frames and plain values.
+
+    A frame counts by its files, their sizes and times, and its schema; one that
+    is not read from files by its plan.
+    """
+    digest = hashlib.sha256()
+    for item in inputs:
+        if isinstance(item, DataFrame):
+            files = sorted(item.inputFiles())
+            for file in files:
+                fs, path = _file_system(item.sparkSession, file)
+                status = fs.getFileStatus(path)
+                digest.update(
+                    f"{file} {status.getLen()} {status.getModificationTime()} ".encode())
+            item = item.schema.json() if files else item.semanticHash()
+        digest.update(repr(item).encode())
+    return digest.hexdigest()[:16]
 
 
 def clear_stages(spark: SparkSession, names: Iterable[str],

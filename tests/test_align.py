@@ -1,6 +1,7 @@
 import random
 from datetime import date
 
+import numpy as np
 import pytest
 from helpers import cube, day
 from pyspark.sql import functions as F
@@ -162,3 +163,30 @@ def test_cells_of_numbers_the_whole_grid(spark):
     back = align.index_cells(raw, GridAxes((1.0, 2.0), (5.0, 6.0, 7.0)))
     assert back.filter(F.col("n") != F.col("lat_i") * 3 + F.col("lon_i")).isEmpty()
     assert back.count() == 6
+
+
+def test_float_axes_are_the_same_grid(spark):
+    exact = tuple(40 + k * 0.1 for k in range(3))
+    noisy = tuple(float(np.float32(v)) for v in exact)
+    assert exact != noisy and GridAxes(noisy, noisy).same_as(GridAxes(exact, exact))
+    assert not GridAxes(exact, exact).same_as(GridAxes(exact, tuple(v + 0.05 for v in exact)))
+    rows = [(day(0), y, x, noisy[y], noisy[x], float(3 * y + x))
+            for y in range(3) for x in range(3)]
+    df = spark.createDataFrame(rows, CUBE)
+    out = align.regrid_bilinear(df, GridAxes(exact, exact), GridAxes(noisy, noisy))
+    assert {(r["lat"], r["lon"]): r["value"] for r in out.collect()} == {
+        (exact[y], exact[x]): float(3 * y + x) for y in range(3) for x in range(3)}
+    finer = tuple(40 + k * 0.05 for k in range(5))
+    moved = align.regrid_bilinear(df, GridAxes(finer, finer), GridAxes(noisy, noisy))
+    assert moved.where("value IS NULL").count() == 0
+
+
+def test_a_cell_day_that_occurs_twice_is_an_error(spark):
+    rows = [(day(0), 0, 0, float(y), float(x), v) for y in range(2) for x in range(2)
+            for v in ((1.0, 101.0) if y == x == 0 else (1.0,))]
+    half = (0.0, 0.5, 1.0)
+    with pytest.raises(Exception, match="duplicate grid rows"):
+        align.regrid_bilinear(spark.createDataFrame(rows, CUBE), GridAxes(half, half)).collect()
+
+
+CUBE = "date date, lat_i int, lon_i int, lat double, lon double, value double"
