@@ -109,7 +109,7 @@ def q_clip(spark, sf):
 def _inputs(spark, sf):
     dense, sparse = dense_grid(spark, sf), sparse_grid(spark, sf)
     return {
-        "tmax": as_input(dense, "tmax", "mx2t"),
+        "tmax": as_input(dense, "tmax", "mx2t").withMetadata("mx2t", {"units": "K"}),
         "soil": as_input(dense.filter("lat_i % 2 = 0"), "soil", "swvl1"),
         "precip": as_input(sparse, "precip", "tp").withColumnRenamed("valid_time", "time"),
         "evap": as_input(sparse, "evap", "e").filter("longitude < 0"),
@@ -142,7 +142,12 @@ FROM facts WHERE n > 0
 UNION ALL
 SELECT f.dataset, 'grid', CASE WHEN f.y = t.y AND f.x = t.x THEN 'info' ELSE 'warning' END,
        CAST(f.y AS VARCHAR) || ' x ' || CAST(f.x AS VARCHAR) || ' (latitude, longitude)'
-FROM facts f CROSS JOIN (SELECT y, x FROM facts WHERE dataset = 'tmax') t"""
+FROM facts f CROSS JOIN (SELECT y, x FROM facts WHERE dataset = 'tmax') t
+UNION ALL
+SELECT dataset, 'units', CASE WHEN dataset = 'tmax' THEN 'info' ELSE 'warning' END,
+       CASE dataset WHEN 'tmax' THEN 'mx2t: K' WHEN 'soil' THEN 'swvl1: not stated'
+            WHEN 'precip' THEN 'tp: not stated' ELSE 'e: not stated' END
+FROM facts"""
 
 
 def q_verify(spark, sf):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from croptide.constants import CUBE_COORDS, VARIABLE_ALIASES
+from croptide.functions.climate import null_if_nan
 
 COORD_COLUMNS = ("latitude", "longitude")
 _EXACT = {"latitude": ("lat", "latitude"), "longitude": ("lon", "longitude")}
@@ -129,7 +130,7 @@ def to_utc_date(df: DataFrame, column: str, tz: str | None = None,
 def intervals_to_seconds(df: DataFrame, roots: Sequence[str]) -> DataFrame:
     """Columns named ``{root}_…``: intervals to seconds, text to numbers.
 
-    Numeric columns stay as they are, text that is no number becomes NULL, and a
+    Numeric columns stay as they are, text that is no number (NaN too) becomes NULL, and a
     root without columns is skipped.
     """
     prefixes = tuple(f"{r}_" for r in roots)
@@ -142,5 +143,5 @@ def intervals_to_seconds(df: DataFrame, roots: Sequence[str]) -> DataFrame:
                 f"CAST(CAST(CAST(`{field.name}` AS INTERVAL SECOND) "
                 "AS DECIMAL(20, 6)) AS DOUBLE)")
         elif not isinstance(field.dataType, T.NumericType):
-            changed[field.name] = F.col(f"`{field.name}`").try_cast("double")
+            changed[field.name] = null_if_nan(F.col(f"`{field.name}`").try_cast("double"))
     return df.withColumns(changed) if changed else df

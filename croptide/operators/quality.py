@@ -31,7 +31,8 @@ def diagnose(spark: SparkSession, inputs: Mapping[str, DataFrame | None],
              profiles: Mapping[str, GridProfile] | None = None) -> DataFrame:
     """(dataset, check, severity, detail) over all inputs.
 
-    Severity is info, warning or critical; each finding is its own row. A missing
+    Severity is info, warning or critical; each finding is its own row. Units are
+    those in a column's metadata (``{"units": "K"}``). A missing
     input is critical and ends the report, as nothing after it can run. All facts
     come from one pass over the coordinates of all inputs, or from ``profiles``.
     """
@@ -56,6 +57,11 @@ def diagnose(spark: SparkSession, inputs: Mapping[str, DataFrame | None],
                 report.append((name, "range", "info", f"{seen.days[0]} .. {seen.days[-1]}"))
             if seen.missing_times:
                 report.append((name, "missing_time", "critical", str(seen.missing_times)))
+        for c in df.columns:
+            if c not in columns[name] and c not in CUBE_COORDS:
+                units = df.schema[c].metadata.get("units")
+                report.append((name, "units", "info" if units else "warning",
+                               f"{c}: {units or 'not stated'}"))
         if seen.missing_places:
             report.append((name, "missing_place", "critical", str(seen.missing_places)))
         if lat is None or lon is None:

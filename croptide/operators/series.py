@@ -30,6 +30,7 @@ from croptide.functions.calendar import (
 )
 from croptide.functions.windows import bfill_column, ffill_column
 from croptide.operators.filters import clip_dates
+from croptide.session import stage_path
 
 MAX_SERIES = 10_000
 
@@ -193,11 +194,15 @@ def pct_change(df: DataFrame, series: str | None = None, order: str = "week",
     return df.withColumn(out, (F.try_divide(F.col("value"), before) - 1) * 100)
 
 
-def series_names(df: DataFrame) -> list[str]:
-    """Distinct series, sorted; refuses more than MAX_SERIES."""
-    rows = df.select("series").distinct().limit(MAX_SERIES + 1).collect()
-    if len(rows) > MAX_SERIES:
-        raise ValueError(f"more than {MAX_SERIES} series cannot become columns")
+def series_names(df: DataFrame, most: int | None = None) -> list[str]:
+    """Distinct series, sorted; more than ``most`` can't become columns.
+
+    ``merge_weekly_long`` gives the same values as rows, for any number.
+    """
+    most = most or MAX_SERIES
+    rows = df.select("series").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} series cannot become columns")
     return sorted(r[0] for r in rows)
 
 
@@ -205,10 +210,25 @@ def merge_weekly_long(sources: Sequence[DataFrame], start: str = PREDICTOR_START
                       end: str = PREDICTOR_END,
                       how: str | Mapping[str, str] = "mean",
                       bfill_limit: int = 10) -> DataFrame:
-    """(series, week, value): union, clip, resample, densify, fill."""
+    """(series, week, value): union, resample, densify, fill, clip.
+
+    What a series last held before ``start`` is carried into the range, so a
+    value known at the start is never overwritten by a later one filled
+    backwards. A series that ends before the range is absent, as before.
+    """
     rows = reduce(DataFrame.unionByName, sources)
-    weekly = resample_weekly(clip_dates(rows, start, end), how)
-    return bfill(ffill(densify_weekly(weekly, start, end)), limit=bfill_limit)
+    inside = resample_weekly(clip_dates(rows, start, end), how)
+    first = F.lit(_mondays(start, end)[0])
+    earlier = resample_weekly(
+        rows.filter(F.col("date") < F.lit(start).cast("date")), how)
+    # One row per series, in the week before the first one.
+    carried = (earlier.filter(F.col("value").isNotNull()).groupBy("series")
+               .agg(F.max_by("value", "week").alias("value"))
+               .select("series", F.date_sub(first, 7).alias("week"), "value"))
+    known = carried.join(inside.select("series").distinct(), "series", "left_semi")
+    before = (Date.fromisoformat(start) - timedelta(days=7)).isoformat()
+    filled = ffill(densify_weekly(inside.unionByName(known), before, end))
+    return bfill(filled.filter(F.col("week") >= first), limit=bfill_limit)
 
 
 def merge_weekly(sources: Sequence[DataFrame], start: str = PREDICTOR_START,
@@ -219,14 +239,18 @@ def merge_weekly(sources: Sequence[DataFrame], start: str = PREDICTOR_START,
     """Sources of any frequency as one wide table, one row per Monday.
 
     Rows are (series, date, value[, how]). ``target`` adds ``Target_Return``,
-    the weekly return of the filled target price. Giving ``names`` saves the pass
-    that lists the series. Seven sources cost one union and three shuffles, the
-    last two over weekly rows; there is no seven-way join.
+    the weekly return of the filled target price. Without ``names`` the weekly
+    rows are written as a stage that both the list of series and the pivot read;
+    series without a row in range are no column then. Seven sources cost one
+    union and a few shuffles, all but the first over weekly rows; there is no
+    seven-way join.
     """
     filled = merge_weekly_long(sources, start, end, how, bfill_limit)
     if names is None:
-        names = series_names(reduce(DataFrame.unionByName, (
-            s.select("series") for s in sources)))
+        path = stage_path(filled.sparkSession, "weekly")
+        filled.write.parquet(path)
+        filled = filled.sparkSession.read.parquet(path)
+        names = series_names(filled)
     names = list(names)
     row = F.struct("series", "value")
     if target is not None:

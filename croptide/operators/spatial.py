@@ -14,7 +14,7 @@ from croptide.constants import (
     CELL,
     INDEX_NAMES,
 )
-from croptide.session import pin_small
+from croptide.session import pin_small, stage_path
 
 MAX_REGIONS = 10_000
 # A mask up to this many cells (12 bytes each) is pinned; a larger one is joined.
@@ -98,12 +98,12 @@ def _reducer(method: str, cell: Sequence[str]):
         "sum": lambda c: F.coalesce(F.sum(c), F.lit(0.0)),
         "std": F.stddev_pop,
         "var": F.var_pop,
-        "median": F.median,
         "first": lambda c: F.min_by(c, known(c)),
         "last": lambda c: F.max_by(c, known(c)),
     }
     if method not in methods:
-        raise ValueError(f"unknown method {method!r}; one of {sorted(methods)}")
+        raise ValueError(
+            f"unknown method {method!r}; one of {sorted([*methods, 'median'])}")
     return methods[method]
 
 
@@ -114,17 +114,47 @@ def regional_aggregate(df: DataFrame, mask: DataFrame, method: str = "mean",
 
     The mask is pinned when a count shows it to be small; the groups combine
     map-side, so a region that holds most cells shuffles one row per day and
-    task. The exact median is the one reducer whose state grows with its group,
-    up to the region's cells on one day.
+    task. That holds for the exact median too, which counts equal values first.
     """
-    reduce_ = _reducer(method, CELL)
     names = [v for v in variables if v in df.columns]
-    return (
-        df.select(date, *CELL, *names)
-        .join(pin_small(mask.select(*CELL, "region"), MASK_PIN_ROWS), list(CELL))
-        .groupBy(date, "region")
-        .agg(*(reduce_(F.col(v)).cast("double").alias(v) for v in names))
-    )
+    inside = df.select(date, *CELL, *names).join(
+        pin_small(mask.select(*CELL, "region"), MASK_PIN_ROWS), list(CELL))
+    if method == "median":
+        return _regional_median(inside, names, date)
+    reduce_ = _reducer(method, CELL)
+    return inside.groupBy(date, "region").agg(
+        *(reduce_(F.col(v)).cast("double").alias(v) for v in names))
+
+
+def _regional_median(inside: DataFrame, names: Sequence[str], date: str) -> DataFrame:
+    """Exact medians without a buffer of all cells of a region and day.
+
+    Equal values are counted map-side; a running count over the distinct values,
+    in order, finds the middle one or two. A window streams its rows, so no group
+    has to fit in memory.
+    """
+    if not names:
+        return inside.select(date, "region").distinct()
+    values = F.array(*(F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("x"))
+                       for v in names))
+    counted = (inside.select(date, "region", F.inline(values))
+               .groupBy(date, "region", "variable", "x").agg(F.count(F.lit(1)).alias("n")))
+    group = Window.partitionBy(date, "region", "variable")
+    known = F.when(F.col("x").isNotNull(), F.col("n")).otherwise(0)
+    upto = F.sum(known).over(group.orderBy(F.col("x").asc_nulls_first())
+                             .rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.select("*", upto.alias("upto"), F.sum(known).over(group).alias("total"))
+    lower = F.floor((F.col("total") + 1) / 2)
+    upper = F.floor(F.col("total") / 2) + 1
+
+    def at(place):
+        held = (F.col("upto") - F.col("n") < place) & (F.col("upto") >= place)
+        return F.max(F.when(F.col("x").isNotNull() & held, F.col("x")))
+
+    middle = placed.groupBy(date, "region", "variable").agg(
+        ((at(lower) + at(upper)) / 2).alias("median"))
+    return middle.groupBy(date, "region").agg(
+        *(F.max(F.when(F.col("variable") == v, F.col("median"))).alias(v) for v in names))
 
 
 def label_regions(df: DataFrame, regions: DataFrame) -> DataFrame:
@@ -142,11 +172,16 @@ def select_regions(df: DataFrame, abbrs: Iterable[str] | None) -> DataFrame:
     return df.filter(F.col("region_abbr").isin(abbrs)) if abbrs else df
 
 
-def region_labels(df: DataFrame) -> list[str]:
-    """The distinct labels, sorted; refuses more than MAX_REGIONS."""
-    rows = df.select("region_abbr").distinct().limit(MAX_REGIONS + 1).collect()
-    if len(rows) > MAX_REGIONS:
-        raise ValueError(f"more than {MAX_REGIONS} regions cannot become columns")
+def region_labels(df: DataFrame, most: int | None = None) -> list[str]:
+    """The distinct labels, sorted; more than ``most`` can't become columns.
+
+    ``regional_aggregate`` with ``label_regions`` gives the same values as rows,
+    for any number.
+    """
+    most = most or MAX_REGIONS
+    rows = df.select("region_abbr").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} regions cannot become columns")
     return sorted(r[0] for r in rows)
 
 
@@ -154,12 +189,17 @@ def pivot_regions(df: DataFrame, variables: Iterable[str] = INDEX_NAMES,
                   abbrs: Sequence[str] | None = None, date: str = "date") -> DataFrame:
     """One row per day with columns ``{variable}_{abbr}``.
 
-    With a list of regions no extra pass is needed. Rows of other regions still
-    hold their day in place, so a list that matches nothing leaves the days
-    without values, and an empty list leaves the days alone.
+    With a list of regions no extra pass is needed; without one the rows, one per
+    day and region, are written as a stage that both the list and the pivot read.
+    Rows of other regions still hold their day in place, so a list that matches
+    nothing leaves the days without values, and an empty list leaves the days
+    alone.
     """
     names = [v for v in variables if v in df.columns]
     if abbrs is None:
+        path = stage_path(df.sparkSession, "regional")
+        df.select(date, "region_abbr", *names).write.parquet(path)
+        df = df.sparkSession.read.parquet(path)
         abbrs = region_labels(df)
     if not abbrs or not names:
         return df.select(date).distinct()

@@ -42,7 +42,8 @@ def regional_features(df: DataFrame, regions: DataFrame, method: str = "mean",
     """Wide daily features ``{variable}_{abbr}`` with a UTC ``Date``.
 
     The store is read once for its axes and once for its values; everything
-    after the regional aggregate has one row per day and region.
+    after the regional aggregate has one row per day and region. The names of the
+    columns come from the mask, so nothing has to run to learn them.
     """
     time = find_time(df.columns, time_col, ("time", "day", "date"))
     df = normalize_coords(df.drop(*CELL, "year"), "substring")
@@ -50,8 +51,9 @@ def regional_features(df: DataFrame, regions: DataFrame, method: str = "mean",
     bounds = (axes.lons[0], axes.lons[-1]) if axes.lons else (None, None)
     if needs_wrap(*bounds):
         df = wrap_longitude(df, bounds=bounds)
+        # 0 and 360 are one meridian; rows of both belong to its cells.
         axes = GridAxes(axes.lats, tuple(sorted(
-            (x + 180.0) % 360.0 - 180.0 for x in axes.lons)))
+            {(x + 180.0) % 360.0 - 180.0 for x in axes.lons})))
     df = index_cells(df, axes)
     variables = [c for c in df.columns if c not in {*CUBE_COORDS, time}]
     # Intervals are numbers from here on, as no reducer but first/last takes them.
@@ -82,8 +84,7 @@ def process_regions_daily(spark: SparkSession, store_path: str, regions_path: st
             read_index_store(spark, store_path, time_col),
             read_regions(spark, regions_path), method, key_regions, interval_roots,
             time_col)
-        return write_features(wide.orderBy(F.col("Date")), output_dir, output_base,
-                              save_parquet, save_csv)
+        return write_features(wide, output_dir, output_base, save_parquet, save_csv, "Date")
     except Exception as e:
         log.error("regional job failed: %s", e)
         return {"status": "error", "message": f"regional job failed: {e}",

@@ -18,6 +18,7 @@ from croptide.constants import (
     SUPPLY_FLOWS,
     SUPPLY_LEVELS,
 )
+from croptide.functions.climate import null_if_nan
 
 
 def _iso(name: str) -> Column:
@@ -26,13 +27,15 @@ def _iso(name: str) -> Column:
 
 def _year_start(name: str) -> Column:
     """1 June of the year a ``2009/10`` label starts in."""
-    return F.make_date(F.substring(F.col(f"`{name}`"), 1, 4).cast("int"),
-                       F.lit(6), F.lit(1))
+    year = F.when(F.col(f"`{name}`").rlike(r"^\s*\d{4}\b"),
+                  F.substring(F.trim(F.col(f"`{name}`")), 1, 4))
+    return F.make_date(year.cast("int"), F.lit(6), F.lit(1))
 
 
 def _quarter_start(year: str, period: str) -> Column:
     """First month of ``Q1 Jun-Aug`` … ``Q4 Mar-May`` in a marketing year."""
-    quarter = F.substring(F.col(f"`{period}`"), 2, 1).cast("int")
+    quarter = F.when(F.col(f"`{period}`").rlike(r"^Q[1-4]"),
+                     F.substring(F.col(f"`{period}`"), 2, 1)).cast("int")
     return F.add_months(_year_start(year), (quarter - 1) * 3)
 
 
@@ -68,7 +71,7 @@ def read_series(spark: SparkSession, path: str, kind: str,
     """One published table in long form.
 
     Columns are taken by name and read as text, so no inference pass runs and a
-    bad number becomes NULL. ``qualify`` prefixes series with the kind, which
+    bad number, NaN or a bad date label becomes NULL. ``qualify`` prefixes series with the kind, which
     keeps the two production columns of the supply tables apart.
     """
     if kind not in SERIES_KINDS:
@@ -91,6 +94,6 @@ def read_series(spark: SparkSession, path: str, kind: str,
     }[shape.calendar]()
     prefix = f"{kind}." if qualify else ""
     wide = raw.select(date.alias("date"), *(
-        F.col(f"`{c}`").try_cast("double").alias(prefix + c) for c in values))
+        null_if_nan(F.col(f"`{c}`").try_cast("double")).alias(prefix + c) for c in values))
     return wide.unpivot(["date"], [F.col(f"`{prefix}{c}`") for c in values],
                         "series", "value").select("series", "date", "value")

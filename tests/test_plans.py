@@ -11,10 +11,10 @@ from croptide.plans import (
     compute_index_store,
     load_observations,
     predictor_methods,
+    predictor_run,
     process_regions_daily,
     weekly_predictors,
 )
-from croptide.plans.indices import _stage
 from croptide.sinks import write_index_store
 
 
@@ -44,7 +44,7 @@ def test_index_run(spark, tmp_path):
     # tmax and tmin differ by one: their mean in °C less the base of ten.
     assert row["GDD"] == pytest.approx(293.5 - 273.15 - 10, abs=1e-4)
     assert row["SoilMoistureAnomaly"] == 0.0
-    assert not (tmp_path / "st" / f"stage_{_stage('soil')}").exists()
+    assert not list((tmp_path / "st").glob("stage_*"))
 
 
 def test_index_run_resumes_from_a_finished_stage(spark, tmp_path):
@@ -54,17 +54,48 @@ def test_index_run_resumes_from_a_finished_stage(spark, tmp_path):
         [(day(d), y, x, float(y), float(x), None) for d in range(40)
          for y in range(3) for x in range(3)],
         "date date, lat_i int, lon_i int, lat double, lon double, value double")
-    marked.write.parquet(f"{stages}/stage_{_stage('soil')}")
+
+    def unfinished():
+        """A run that failed after its stage: the store's path is a file."""
+        (tmp_path / "file").write_text("")
+        with pytest.raises(Exception, match="file"):
+            compute_index_store(spark, base, str(tmp_path / "file" / "x"), stage_dir=stages)
+        (stage,) = (tmp_path / "st").glob("stage_cube_soil_*")
+        marked.write.mode("overwrite").parquet(str(stage))
+
+    unfinished()
     compute_index_store(spark, base, str(tmp_path / "a"), stage_dir=stages)
     assert spark.read.parquet(str(tmp_path / "a")).agg(
         F.count("SoilMoistureAnomaly")).first()[0] == 0
-    marked.write.mode("overwrite").parquet(f"{stages}/stage_{_stage('soil')}")
+    unfinished()
     compute_index_store(spark, base, str(tmp_path / "b"), stage_dir=stages,
                         force_recompute=True)
     assert spark.read.parquet(str(tmp_path / "b")).agg(
         F.count("SoilMoistureAnomaly")).first()[0] == 360
 
 
+def test_stages_of_other_inputs_are_not_reused(spark, tmp_path):
+    from croptide.sinks import fingerprint
+
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    spark.range(3).write.parquet(one)
+    spark.range(4).write.parquet(two)
+    a, b = spark.read.parquet(one), spark.read.parquet(two)
+    assert fingerprint(a, (1, 2)) == fingerprint(spark.read.parquet(one), (1, 2))
+    assert len({fingerprint(a, (1, 2)), fingerprint(b, (1, 2)), fingerprint(a, (1, 3))}) == 3
+    x = spark.createDataFrame([(1,)], "a int")
+    assert fingerprint(x) != fingerprint(spark.createDataFrame([(2,)], "a int"))
+
+
+def test_rows_without_a_place_stop_the_run(spark):
+    from croptide.plans.indices import assemble_inputs
+
+    rows = [(day(0), 1.0, 2.0, 3.0), (day(0), None, 2.0, 3.0)]
+    grid = spark.createDataFrame(rows, "valid_time date, latitude double, longitude double, tmax double")
+    with pytest.raises(ValueError, match="latitude"):
+        assemble_inputs(spark, {"tmax": grid})
+
+
 def test_index_run_stops_on_a_missing_input(spark, tmp_path):
     base = str(tmp_path / "in")
     write_inputs(spark, base, 3, skip=("evap",))
@@ -139,6 +170,92 @@ def test_observations_skip_and_overwrite(spark, tmp_path):
     assert load(more, overwrite=True) == {2020: 1900.0, 2021: 2900.0}
 
 
+@pytest.mark.parametrize("zone", ["utc-05:00", "utc+09:00"])
+@pytest.mark.parametrize("years", [(2023, 2024), (2024, 2023)])
+@pytest.mark.parametrize("overwrite", [False, True])
+def test_loads_of_neighbouring_years(spark, tmp_path, zone, years, overwrite):
+    path = str(tmp_path / "obs")
+    hours = spark.sql("""SELECT explode(sequence(TIMESTAMP_NTZ '2022-12-30 00:00:00',
+        TIMESTAMP_NTZ '2025-01-03 00:00:00', INTERVAL 3 HOURS)) AS valid_time""")
+    obs = hours.selectExpr("valid_time", "1D AS latitude", "2D AS longitude", "3D AS t2m")
+    for year in years:
+        load_observations(obs, path, "t2m", year, year, "daily_sum", zone, overwrite=overwrite)
+    got = spark.read.parquet(path).groupBy("year").agg(
+        F.countDistinct("date").alias("days"), F.sum("value").alias("total")).collect()
+    assert {r["year"]: (r["days"], r["total"]) for r in got} == {
+        2023: (365, 365 * 24.0), 2024: (366, 366 * 24.0)}
+
+
+def test_loads_of_other_levels(spark, tmp_path):
+    path = str(tmp_path / "obs")
+    obs = spark.createDataFrame(
+        [(datetime(2020, 1, 2, 6), 1.0, 2.0, level, float(level)) for level in (500, 850)],
+        "valid_time timestamp_ntz, latitude double, longitude double, level int, t double")
+    for overwrite in (False, True):
+        for level in (500, 850):
+            load_observations(obs, path, "t", 2020, 2020, overwrite=overwrite,
+                              pressure_level=level)
+        assert sorted((r["level"], r["value"]) for r in spark.read.parquet(path).collect()) == [
+            (500, 500.0), (850, 850.0)]
+
+
+def test_wrapped_axis_holds_a_meridian_once(spark):
+    from croptide.plans.regional import regional_features
+
+    rows = [(day(0), 40.0, x, v) for x, v in
+            ((0.0, 1.0), (90.0, 7.0), (180.0, 9.0), (270.0, 2.0), (360.0, 4.0))]
+    store = spark.createDataFrame(rows, "date date, latitude double, longitude double, GDD double")
+    outline = spark.createDataFrame(
+        [(1, "A", [(-1.0, 39.0), (1.0, 39.0), (1.0, 41.0), (-1.0, 41.0)])],
+        "region int, region_abbr string, ring array<struct<x:double,y:double>>")
+    wide = regional_features(store, outline, "sum", time_col="date")
+    assert wide.first()["GDD_A"] == 5.0
+
+
+def test_regional_job_reads_the_values_once(spark, tmp_path):
+    """Axes once and values once, whatever is written."""
+    store, outlines = store_and_outlines(spark, tmp_path)
+    executions = spark._jsparkSession.sharedState().statusStore()
+    before = executions.executionsCount()
+    out = process_regions_daily(spark, store, outlines, str(tmp_path / "o"), "daily",
+                                save_csv=True)
+    assert out["output_csv_path"] and out["output_parquet_path"]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    plans = executions.executionsList(before, 1000)
+    reads = sum(f"{store}]" in plans.apply(k).physicalPlanDescription()
+                for k in range(plans.size()))
+    assert reads == 2
+
+
+def test_predictor_run(spark, tmp_path):
+    start = date(2019, 12, 30)
+    features = spark.createDataFrame(
+        [(datetime(2020, 1, d), float(d), 2.0 * d) for d in range(1, 28)],
+        "Date timestamp, GDD_KS double, GDD_ND double")
+    features.write.parquet(str(tmp_path / "f"))
+
+    def table(name, header, *lines):
+        path = tmp_path / f"{name}.csv"
+        path.write_text("\n".join([header, *lines]) + "\n")
+        return str(path)
+
+    tables = {
+        "market": table("m", "Date,ZW=F", *(f"{start + timedelta(days=k)},{500 + k}"
+                                            for k in range(28))),
+        "quarterly_supply": table("q", "Marketing_Year,Time_Period,US_Exports_M_Bu,US_Ending_Stocks_M_Bu",
+                                  "2019/10,Q3 Dec-Feb,300,70", "2019/10,n.a.,9,9"),
+        "annual_supply": table("a", "Marketing year 1,US_Yield_Bu_Acre", "2019/20,51.7", "n.a.,1"),
+        "risk": table("r", "date,GPR", "2019-11-01,80", "2020-01-10,NaN"),
+    }
+    path = predictor_run(spark, str(tmp_path / "f"), tables, str(tmp_path / "out"),
+                         ["KS", "ND", "XX"], "2020-01-01", "2020-01-26")
+    rows = spark.read.parquet(path).orderBy("Date").collect()
+    assert [r["Date"] for r in rows] == [date(2020, 1, 6), date(2020, 1, 13), date(2020, 1, 20)]
+    assert rows[1]["GDD_Belt_Mean"] == pytest.approx(sum(1.5 * d for d in range(7, 14)))
+    assert rows[1]["ZW=F"] == 514 and rows[1]["Target_Return"] == pytest.approx(700 / 507)
+    assert [r["GPR"] for r in rows] == [80.0] * 3
+
+
 def test_weekly_predictors(spark):
     monday = date(2020, 1, 6)
     belt = spark.createDataFrame(

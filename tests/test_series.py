@@ -155,3 +155,48 @@ def test_merge_weekly(spark):
     assert out[0][4] is None and out[1][4] == pytest.approx(7.0)
     named = series.merge_weekly([daily], "2020-01-01", "2020-01-20", "last", None, ["ZW=F"])
     assert named.columns == ["Date", "ZW=F"]
+
+
+def test_merge_holds_what_was_known_before_the_start(spark):
+    rows = spark.createDataFrame(
+        [("r", date(2009, 12, 1), 1.0), ("r", date(2010, 4, 1), 2.0),
+         ("old", date(2009, 1, 5), 9.0), ("late", date(2010, 2, 1), 5.0)],
+        "series string, date date, value double")
+    out = series.merge_weekly_long([rows], "2010-01-01", "2010-04-12")
+    got = {}
+    for r in out.orderBy("series", "week").collect():
+        got.setdefault(r["series"], []).append(r["value"])
+    assert got["r"] == [1.0] * 13 + [2.0] * 2  # weeks from 4 January; April from the 5th
+    assert "old" not in got  # nothing within the range
+    assert got["late"] == [5.0] * 15  # filled backwards, as nothing was known
+
+
+def test_nan_and_bad_labels_become_null(spark, tmp_path):
+    from croptide.sources import SERIES_KINDS, read_series
+
+    def table(name, *lines):
+        path = tmp_path / f"{name}.csv"
+        path.write_text("\n".join(lines) + "\n")
+        return str(path)
+
+    risk = read_series(spark, table("r", "date,GPR", "2020-01-01,NaN", "x,3", "2020-02-01,4"),
+                       "risk")
+    assert [(r["date"], r["value"]) for r in risk.collect()] == [
+        (date(2020, 1, 1), None), (None, 3.0), (date(2020, 2, 1), 4.0)]
+    quarters = read_series(
+        spark, table("q", "Marketing_Year,Time_Period,US_Exports_M_Bu", "2009/10,Q3 Dec-Feb,1",
+                     "n.a.,Q1 Jun-Aug,2", "2010/11,n.a.,3"), "quarterly_supply")
+    assert [(r["date"], r["value"]) for r in quarters.collect()] == [
+        (date(2009, 12, 1), 1.0), (None, 2.0), (None, 3.0)]
+    # Every published shape has a successful read.
+    for kind, shape in SERIES_KINDS.items():
+        header = {"marketing_year": "2009/10", "marketing_quarter": "2009/10"}.get(
+            shape.calendar, "2009-06-01")
+        extra = ",Time_Period" if shape.calendar == "marketing_quarter" else ""
+        label = "" if shape.dates[0] == "_c0" else shape.dates[0]
+        path = table(kind, label + extra + "," + ",".join(shape.values),
+                     header + (",Q1 Jun-Aug" if extra else "") + ",1.5" * len(shape.values))
+        rows = read_series(spark, path, kind).collect()
+        assert {r["date"] for r in rows} == {date(2009, 6, 1)}, kind
+        assert {r["series"] for r in rows} == set(shape.values)
+        assert {r["value"] for r in rows} == {1.5}
