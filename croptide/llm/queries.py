@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from croptide.llm import (chat, decontaminate, embeddings, language, licences, mixing, pages,
                           simhash, substrings, tokens)
-from croptide.llm.sql import CHAT_SQL, EMBEDDING_SQL, MIXING_SQL, SUBSTRING_SQL
+from croptide.llm.sql import CHAT_SQL, EMBEDDING_SQL, LICENCE_SQL, MIXING_SQL, SUBSTRING_SQL
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -101,5 +101,6 @@ SQL = {
     "op1_mixing": MIXING_SQL,
     "op4_embedding_neardup": EMBEDDING_SQL,
     "op6_substring_dedup": SUBSTRING_SQL,
+    "op7_licences": LICENCE_SQL,
     "op8_chat": CHAT_SQL,
 }

@@ -1,5 +1,7 @@
 """The queries that SQL can express, over the whole tables."""
 
+from croptide.llm.licences import TEMPLATES, THRESHOLD
+
 MIXING_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source,
@@ -122,3 +124,72 @@ SELECT conv_id, perspective, turn, chat_role, name, segment, position, start,
        CASE WHEN chat_role = 'assistant' THEN start + length(segment) - 1 END AS mask_end
 FROM placed
 """
+
+_TERM = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
+_TEMPLATES = ", ".join(f"('{name}', '{line}')" for name, line in TEMPLATES)
+
+LICENCE_SQL = rf"""
+WITH files AS (
+    SELECT doc_id, text,
+           concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'),
+                     (doc_id // 100)::VARCHAR) || '/' || doc_id::VARCHAR || '.txt' AS path,
+           coalesce(regexp_matches(lower(str_split_regex(trim(text), '\r\n|[\n\r]')[1]),
+                                   'licen[cs]ed? '), false)
+           AND length(str_split_regex(trim(text), '\r\n|[\n\r]')[1]) < 100 AS is_licence_file
+    FROM documents),
+tv AS (
+    SELECT license, term, count(*) AS tf
+    FROM (SELECT license, unnest(regexp_extract_all(lower(line), '{_TERM}')) AS term
+          FROM (VALUES {_TEMPLATES}) AS t(license, line))
+    GROUP BY license, term),
+vocabulary AS (SELECT DISTINCT term FROM tv),
+lines AS (
+    SELECT path, line_no, regexp_extract_all(lower(line), '{_TERM}') AS terms
+    FROM (SELECT path, unnest(parts) AS line, unnest(range(0, len(parts))) AS line_no
+          FROM (SELECT path, str_split_regex(text, '\r\n|[\n\r]') AS parts FROM files
+                WHERE path IS NOT NULL AND text IS NOT NULL))),
+tf AS (
+    SELECT path, line_no, term, count(*)::DOUBLE AS tf
+    FROM (SELECT path, line_no, unnest(terms) AS term FROM lines)
+    GROUP BY path, line_no, term),
+known AS (SELECT DISTINCT path, line_no FROM tf SEMI JOIN vocabulary USING (term)),
+total AS (SELECT count(*) AS n FROM known),
+idf AS (
+    SELECT v.term, 1 + ln((1.0 + (SELECT n FROM total)) / (1.0 + count(tf.term))) AS idf
+    FROM vocabulary v LEFT JOIN tf ON tf.term = v.term GROUP BY v.term),
+weighted AS (
+    SELECT path, line_no, tf.term,
+           tf * coalesce(idf, 1 + ln(1.0 + (SELECT n FROM total))) AS w
+    FROM tf SEMI JOIN known USING (path, line_no) LEFT JOIN idf ON idf.term = tf.term),
+norms AS (SELECT path, line_no, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY path, line_no),
+side AS (SELECT license, term, tf * idf AS w FROM tv JOIN idf USING (term)),
+sizes AS (SELECT license, sqrt(sum(w * w)) AS size FROM side GROUP BY license),
+scored AS (
+    SELECT path, line_no, license, sum(a.w * b.w) / any_value(norm) / any_value(size) AS score
+    FROM weighted a JOIN side b ON b.term = a.term JOIN norms USING (path, line_no)
+    JOIN sizes USING (license)
+    GROUP BY path, line_no, license HAVING score >= {THRESHOLD}),
+own AS (
+    SELECT path, first(license ORDER BY round(score, 12) DESC, license, line_no) AS license,
+           max(score) AS score
+    FROM scored GROUP BY path),
+placed AS (SELECT *, regexp_replace(path, '/?[^/]*$', '') AS place FROM files),
+votes AS (
+    SELECT place AS above, o.license, count(*) AS n FROM placed p JOIN own o ON o.path = p.path
+    WHERE is_licence_file GROUP BY place, o.license),
+granted AS (SELECT above, first(license ORDER BY n DESC, license) AS license FROM votes
+            GROUP BY above),
+above AS (
+    SELECT place, array_to_string(string_split(place, '/')[1:k], '/') AS above
+    FROM (SELECT DISTINCT place, unnest(range(0, len(string_split(place, '/')) + 1)) AS k
+          FROM placed WHERE place IS NOT NULL)),
+nearest AS (
+    SELECT place, arg_max(g.above, length(g.above)) AS directory,
+           arg_max(g.license, length(g.above)) AS license
+    FROM above a JOIN granted g ON g.above = a.above GROUP BY place)
+SELECT p.doc_id, p.path, coalesce(o.license, n.license) AS license, round(o.score, 9) AS score,
+       CASE WHEN o.path IS NOT NULL THEN 'own' WHEN n.place IS NOT NULL THEN 'inherited'
+            ELSE 'none' END AS origin,
+       CASE WHEN o.path IS NULL THEN n.directory END AS directory
+FROM placed p LEFT JOIN own o ON o.path = p.path LEFT JOIN nearest n ON n.place = p.place
+"""
