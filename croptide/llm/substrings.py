@@ -200,11 +200,10 @@ def _repeat_batches(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[
     """The windows of each document that a smaller document has too."""
     answers = _Answers(groups)
     for _, rows in _by_bucket(batches):
-        index = None
-        for row in rows:  # the smallest document of each window, pack by pack
-            least = _least(*_unpack(row, np.uint64))
-            index = least if index is None else _least(
-                np.concatenate([index[1], least[1]]), np.concatenate([index[0], least[0]]))
+        docs, keys = (np.concatenate(c) for c in
+                      zip(*(_unpack(r, np.uint64) for r in rows), strict=True))
+        index = _least(docs, keys)
+        del docs, keys
         for row in rows:
             docs, keys = _unpack(row, np.uint64)
             found = _later(index, docs, keys)
@@ -325,15 +324,17 @@ def _sieve(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, Column]:
     return marked, F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))
 
 
-def _answered(packed: DataFrame) -> DataFrame:
+def _answered(packed: DataFrame, groups: int) -> DataFrame:
     """The distinct documents of packed answers."""
     def ids(batches):
+        known = np.zeros(0, np.int64)
         for batch in batches:
             docs = [np.frombuffer(d, np.int64) for d in batch.column("docs").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.unique(np.concatenate([np.zeros(0, np.int64), *docs])))], ["doc_id"])
+            known = np.unique(np.concatenate([known, *docs]))
+        yield pa.RecordBatch.from_arrays([pa.array(known)], ["doc_id"])
 
-    return packed.select("docs").mapInArrow(ids, "doc_id long")
+    return (packed.select("bucket", "docs").repartition(groups, "bucket").select("docs")
+            .mapInArrow(ids, "doc_id long"))
 
 
 def _meet(texts: DataFrame, answers: DataFrame, groups: int) -> DataFrame:
@@ -372,7 +373,7 @@ def repeated_windows(texts: DataFrame, window: int, groups: int) -> DataFrame:
                  "anchors")
     del anchors
     release(spark)
-    marked, maybe = _sieve(texts, _answered(hits))
+    marked, maybe = _sieve(texts, _answered(hits, groups))
     windows = _meet(marked.where(maybe).select("doc_id", "text"), hits, groups).mapInArrow(
         partial(_candidate_batches, window=window, buckets=groups), PACKED)
     found = stage(by_bucket(windows).mapInArrow(partial(_repeat_batches, groups=groups), PACKED),
@@ -404,7 +405,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                        + ["n_words long", "n_removed long", "kept_text string"])
     remove = partial(_removal_batches, window=window, columns=[f.name for f in fields])
-    marked, maybe = _sieve(own, _answered(repeats))
+    marked, maybe = _sieve(own, _answered(repeats, groups))
     touched = marked.where(maybe & F.col("doc_id").isNotNull()).select(*own.columns)
     alone = marked.where(~(maybe & F.col("doc_id").isNotNull())).select(
         F.lit(0).alias("bucket"), F.lit(1).cast("byte").alias("kind"), *own.columns)
