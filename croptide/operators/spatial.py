@@ -17,7 +17,7 @@ from croptide.constants import (
 from croptide.session import pin_small, stage_path
 
 MAX_REGIONS = 10_000
-# A mask up to this many cells (12 bytes each) is pinned; a larger one is joined.
+# A mask of up to this many runs (16 bytes each) is pinned; a larger one is joined.
 MASK_PIN_ROWS = 1_000_000
 
 
@@ -107,18 +107,32 @@ def _reducer(method: str, cell: Sequence[str]):
     return methods[method]
 
 
+def mask_runs(mask: DataFrame) -> DataFrame:
+    """A mask as (lat_i, region, first, last): runs of consecutive ``lon_i``."""
+    along = Window.partitionBy("lat_i", "region").orderBy("lon_i")
+    return (mask.select(*CELL, "region").distinct()
+            .withColumn("_run", F.col("lon_i") - F.row_number().over(along))
+            .groupBy("lat_i", "region", "_run")
+            .agg(F.min("lon_i").alias("first"), F.max("lon_i").alias("last")).drop("_run"))
+
+
 def regional_aggregate(df: DataFrame, mask: DataFrame, method: str = "mean",
                        variables: Iterable[str] = INDEX_NAMES,
                        date: str = "date") -> DataFrame:
     """(date, region, variables…): unweighted, missing values skipped.
 
-    The mask is pinned when a count shows it to be small; the groups combine
-    map-side, so a region that holds most cells shuffles one row per day and
-    task. That holds for the exact median too, which counts equal values first.
+    The mask becomes runs of neighbouring cells, far fewer than cells, which are
+    pinned when a count shows them to be few enough; so a finer grid does not
+    shuffle the cube. The groups combine map-side, so a region that holds most
+    cells shuffles one row per day and task. That holds for the exact median too,
+    which counts equal values first.
     """
     names = [v for v in variables if v in df.columns]
-    inside = df.select(date, *CELL, *names).join(
-        pin_small(mask.select(*CELL, "region"), MASK_PIN_ROWS), list(CELL))
+    c, m = df.select(date, *CELL, *names).alias("c"), pin_small(
+        mask_runs(mask), MASK_PIN_ROWS).alias("m")
+    inside = c.join(m, (F.col("c.lat_i") == F.col("m.lat_i"))
+                    & F.col("c.lon_i").between(F.col("m.first"), F.col("m.last"))).select(
+        "c.*", "m.region")
     if method == "median":
         return _regional_median(inside, names, date)
     reduce_ = _reducer(method, CELL)

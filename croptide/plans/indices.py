@@ -84,13 +84,16 @@ def assemble_inputs(spark: SparkSession, grids: Mapping[str, DataFrame],
 def compute_index_store(spark: SparkSession, base_path: str, save_path: str,
                         time_col: str = "valid_time", force_recompute: bool = False,
                         file_format: str = "parquet", stage_dir: str | None = None,
-                        keep_stages: bool = True) -> str | None:
+                        keep_stages: bool = True,
+                        stage_assembled: bool = False) -> str | None:
     """Read the seven folders below ``base_path`` and write all six indices.
 
     Returns the store path, or None when the diagnostics find a critical
     problem. A failed run resumes from the stages it finished, which only a run
     over the same files finds; with ``force_recompute`` they are written anew. A
-    run that succeeds removes its stages.
+    run that succeeds removes its stages. ``stage_assembled`` keeps the assembled
+    table too, so that a failed store write does not line the inputs up again; it
+    costs a table of that size and a second exchange by cell.
     """
     stages: list[str] = []
     grids: dict[str, DataFrame | None] = {}
@@ -109,6 +112,11 @@ def compute_index_store(spark: SparkSession, base_path: str, save_path: str,
         return None
     wide = assemble_inputs(spark, grids, time_col, stage_dir, keep_stages,
                            force_recompute, profiles, stages)
+    if stage_assembled:
+        assembled = wide
+        stages.append(_stage("assembled", *grids.values()))
+        wide = materialize_stage(spark, lambda: assembled, stages[-1], stage_dir,
+                                 force_recompute)
     write_index_store(compute_indices(wide), save_path)
     clear_stages(spark, stages, stage_dir)
     return save_path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -51,7 +53,8 @@ def stage_root(spark: SparkSession) -> str:
     """The shared folder for stage tables, read from ``spark.checkpoint.dir``.
 
     A temporary folder stands in only when the setting is absent *and* the
-    session is local; on a cluster a machine-local folder would lose stages.
+    session is local (it goes with the process); on a cluster a machine-local
+    folder would lose stages.
     """
     global _local_root
     configured = spark.conf.get(_STAGE_CONF, None) or spark.sparkContext.getConf().get(
@@ -63,6 +66,7 @@ def stage_root(spark: SparkSession) -> str:
         raise RuntimeError(f"set {_STAGE_CONF} to a folder every executor can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="croptide-stages-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 

@@ -74,6 +74,20 @@ def test_index_run_resumes_from_a_finished_stage(spark, tmp_path):
         F.count("SoilMoistureAnomaly")).first()[0] == 360
 
 
+def test_index_run_may_resume_after_assembly(spark, tmp_path):
+    base, stages = str(tmp_path / "in"), tmp_path / "st"
+    write_inputs(spark, base, 12)
+    (tmp_path / "file").write_text("")
+    with pytest.raises(Exception, match="file"):
+        compute_index_store(spark, base, str(tmp_path / "file" / "x"), stage_dir=str(stages),
+                            stage_assembled=True)
+    assert len(list(stages.glob("stage_cube_assembled_*"))) == 1
+    compute_index_store(spark, base, str(tmp_path / "a"), stage_dir=str(stages),
+                        stage_assembled=True)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 12 * 9
+    assert not list(stages.glob("stage_*"))
+
+
 def test_stages_of_other_inputs_are_not_reused(spark, tmp_path):
     from croptide.sinks import fingerprint
 

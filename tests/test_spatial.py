@@ -114,14 +114,19 @@ def test_cells_outside_every_region_are_dropped(spark):
 
 def test_large_mask_is_joined_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(spatial, "MASK_PIN_ROWS", 2)
-    df = spark.createDataFrame([(day(0), 0, j, float(j)) for j in range(4)],
+    df = spark.createDataFrame([(day(0), 0, j, float(j)) for j in range(8)],
                                "date date, lat_i int, lon_i int, GDD double")
-    mask = spark.createDataFrame([(0, j, 1) for j in range(4)],
-                                 "lat_i int, lon_i int, region int")
-    out = spatial.regional_aggregate(df, mask)
-    assert out.first()["GDD"] == 1.5
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+    def result(cells):
+        mask = spark.createDataFrame([(0, j, 1) for j in cells],
+                                     "lat_i int, lon_i int, region int")
+        out = spatial.regional_aggregate(df, mask)
+        return out.first()["GDD"], out._jdf.queryExecution().executedPlan().toString()
+
+    total, plan = result(range(0, 8, 2))  # four runs
+    assert total == 3.0 and "SortMergeJoin" in plan and "Broadcast" not in plan
+    total, plan = result(range(6))  # six cells in one run: the cube stays in place
+    assert total == 2.5 and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def long_rows(spark):

@@ -201,3 +201,33 @@ def test_pin_small_evaluates_once_or_stays_lazy(spark):
     joined = spark.range(10).join(large, "id")
     assert joined.count() == 4
     assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_keys_are_compared_as_the_column_types_say(spark, tmp_path):
+    path = str(tmp_path / "p")
+
+    def frame(x, *names):
+        return spark.createDataFrame([(v, 2010, x) for v in names],
+                                     "variable string, year int, x double")
+
+    write_missing_partitions(frame(1.0, "10", "a b/c=é", None), path)
+    write_missing_partitions(frame(2.0, "010", "10", "a b/c=é", None), path)
+    write_missing_partitions(frame(3.0, "010", "10", "1e1"), path, max_literal_keys=1)
+    read = spark.read.schema("x double, variable string, year int").parquet(path)
+    assert {r["variable"]: r["x"] for r in read.collect()} == {
+        "10": 1.0, "a b/c=é": 1.0, None: 1.0, "010": 2.0, "1e1": 3.0}
+
+
+def test_index_store_is_replaced_whatever_the_session_says(spark, tmp_path):
+    path = str(tmp_path / "s")
+    two = spark.createDataFrame(
+        [(date(y, 5, 1), 0, 0, 0.0, 0.0, 1.0) for y in (2019, 2020)],
+        "date date, lat_i int, lon_i int, lat double, lon double, GDD double")
+    write_index_store(two, path)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        write_index_store(two.filter("date > '2020-01-01'"), path)
+    finally:
+        spark.conf.unset(key)
+    assert [r["year"] for r in spark.read.parquet(path).collect()] == [2020]
