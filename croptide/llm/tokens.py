@@ -109,8 +109,9 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str | None = None,
         text_digest(F.col("text")).alias("digest")), "digests")
     known = _read_cache(spark, cache).where(F.col("version") == version).groupBy("digest").agg(
         F.min("n_tokens").alias("n_tokens"))
-    missing = (digests.join(known, "digest", "left_anti").groupBy("digest")
-               .agg(F.min("doc_id").alias("doc_id")))
+    # One row per digest before the join, however many copies a text has.
+    missing = (digests.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+               .join(known, "digest", "left_anti"))
     # Only the documents that stand for a new digest are encoded. Ids can repeat
     # or be null, so the digest is part of the match.
     chosen = (texts.withColumn("digest", text_digest(F.col("text")))
