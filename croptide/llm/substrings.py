@@ -270,12 +270,13 @@ def _candidate_batches(batches: Iterator[pa.RecordBatch], window: int, buckets:
     yield from packer.flush()
 
 
-def _removal_batches(batches: Iterator[pa.RecordBatch], window: int, columns: list[str]
-                     ) -> Iterator[pa.RecordBatch]:
+def _removal_batches(batches: Iterator[pa.RecordBatch], window: int, columns: list[str],
+                     spaced: bool) -> Iterator[pa.RecordBatch]:
     """Word counts and the text that stays, per document."""
     for batch, known in _with_answers(batches):
         ids = batch.column("doc_id").fill_null(0).to_numpy()
         n_words, n_removed, kept = [], [], []
+        texts = batch.column("text")
         for a, b, words, hashes in _hashed(batch):
             blob, counts = words.data.tobytes(), words.counts()
             gone = np.zeros(len(hashes), dtype=bool)
@@ -296,6 +297,8 @@ def _removal_batches(batches: Iterator[pa.RecordBatch], window: int, columns: li
                     stay = np.flatnonzero(~gone[lo:hi]) + lo
                     kept.append(b" ".join([blob[s:e] for s, e in zip(
                         words.start[stay].tolist(), words.end[stay].tolist(), strict=True)]))
+                elif not spaced:
+                    kept.append((texts[a + i].as_py() or "").encode())
                 else:
                     kept.append(b" ".join(blob[words.start[lo]:words.end[hi - 1]].split())
                                 if hi > lo else b"")
@@ -383,12 +386,13 @@ def repeated_windows(texts: DataFrame, window: int, groups: int) -> DataFrame:
     return found
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, spaced: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` instead of ``text``.
 
     A word goes when it lies in a window of ``window`` words whose sequence also
     starts in a document with a smaller ``doc_id``; windows are judged on the
-    input. The kept words are joined by one space. A null text has no words. A
+    input. The kept words are joined by one space; without ``spaced`` a text that
+    loses nothing stays as it is. A null text has no words and gives an empty one. A
     null ``doc_id`` is smaller or larger than no other: such rows lose nothing
     and cause no removal. Rows that repeat a ``doc_id`` don't affect each other.
     An empty table gives an empty one. Columns ``n_words``, ``n_removed``,
@@ -404,7 +408,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     fields = [f for f in own.schema.fields if f.name != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                        + ["n_words long", "n_removed long", "kept_text string"])
-    remove = partial(_removal_batches, window=window, columns=[f.name for f in fields])
+    remove = partial(_removal_batches, window=window, columns=[f.name for f in fields],
+                     spaced=spaced)
     marked, maybe = _sieve(own, _answered(repeats, groups))
     touched = marked.where(maybe & F.col("doc_id").isNotNull()).select(*own.columns)
     alone = marked.where(~(maybe & F.col("doc_id").isNotNull())).select(
