@@ -162,7 +162,7 @@ def _mixtures(model: LanguageModel, doc: np.ndarray, feature: np.ndarray, n: np.
 
 def _predict_batches(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
     """Adds ``lang_pred`` and ``score`` and drops the text if the schema does."""
-    model: LanguageModel = held.value
+    model = LanguageModel(*held.value)
     names = np.array([*model.languages, UNKNOWN], dtype=object)
     for batch in batches:
         predicted, scores = [], []
@@ -225,7 +225,9 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns
                          if c.lower() not in ("lang_pred", "score")))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: broadcasts are pickled by reference to their classes.
+    held = docs.sparkSession.sparkContext.broadcast(
+        (model.languages, model.share, model.feature, model.likelihood))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
                        + ["lang_pred string", "score double"])
     return kept.mapInArrow(partial(_predict_batches, held=held), schema)
