@@ -21,9 +21,18 @@ TEMPLATES = (
 )
 
 
+#: What separates terms besides blanks; a dot does before a blank or at the end.
+SEPARATORS = "\t\x0b\x0c!\"#$%&'()*+,-/:;<=>?@[\\]^_`{|}~"
+
+
 def terms(line: Column) -> Column:
-    """Lower-case words and numbers of a line (``2.0`` is one term)."""
-    return F.regexp_extract_all(F.lower(line), F.lit("[a-z]+|[0-9]+(?:\\.[0-9]+)*"), 0)
+    """Lower-case words and numbers of a line, in order (``2.0`` is one term).
+
+    Plain replacements and a split at blanks: no pattern runs over the corpus.
+    """
+    flat = F.translate(F.lower(line), SEPARATORS, " " * len(SEPARATORS))
+    flat = F.replace(F.concat(flat, F.lit(" ")), F.lit(". "), F.lit(" "))
+    return F.array_remove(F.split(flat, " "), "")
 
 
 def template_table(spark, templates=TEMPLATES) -> DataFrame:
@@ -34,15 +43,28 @@ def template_table(spark, templates=TEMPLATES) -> DataFrame:
 
 
 def _lines(files: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``(path, line_no, n_terms, known)`` of the lines with a template term.
+    """``(path, line_no, terms)`` of the lines with one of some terms."""
+    return (files.select("path", F.posexplode(F.split("text", "\\r\\n|[\\n\\r]"))
+                         .alias("line_no", "line"))
+            .select("path", "line_no", terms(F.col("line")).alias("terms"))
+            .where(F.arrays_overlap("terms", F.array(*map(F.lit, vocabulary)))))
+
 
-    Lines without one have cosine 0 with every template.
+def _telling(by_license: dict[str, dict[str, float]], threshold: float) -> list[str]:
+    """Terms of which a line needs one to reach ``threshold`` with any template.
+
+    Without them the rest of a template's vector is too short: a cosine is at
+    most the length of the shared part over that of the template.
     """
-    cheap = F.col("line").rlike("(?i)\\b(" + "|".join(v.replace(".", "\\.") for v in vocabulary)
-                                + ")\\b")
-    return (files.select("path", F.posexplode(F.split("text", "\\R")).alias("line_no", "line"))
-            .where(cheap).select("path", "line_no", terms(F.col("line")).alias("terms"))
-            .where(F.arrays_overlap("terms", F.array(*map(F.lit, vocabulary)))))
+    out = set()
+    for vector in by_license.values():
+        whole = left = sum(w * w for w in vector.values())
+        for term, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+            if left < 0.999 * threshold * threshold * whole:
+                break
+            out.add(term)
+            left -= w * w
+    return sorted(out)
 
 
 def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD
@@ -75,7 +97,7 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     for r in table.collect():
         by_license.setdefault(r["license"], {})[r["term"]] = r["tf"] * idf[r["term"]]
     # The squared length of a line: sum of (tf * idf)^2 over its distinct terms.
-    counted = lines.withColumn("distinct", F.array_distinct("terms"))
+    counted = _lines(files, _telling(by_license, threshold)).withColumn("distinct", F.array_distinct("terms"))
     weights = F.create_map(*(x for t in vocabulary for x in (F.lit(t), F.lit(idf[t]))))
 
     def tf(term: Column) -> Column:

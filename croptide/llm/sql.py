@@ -1,6 +1,6 @@
 """The queries that SQL can express, over the whole tables."""
 
-from croptide.llm.licences import TEMPLATES, THRESHOLD
+from croptide.llm.licences import SEPARATORS, TEMPLATES, THRESHOLD
 
 MIXING_SQL = r"""
 WITH sized AS (
@@ -125,7 +125,10 @@ SELECT conv_id, perspective, turn, chat_role, name, segment, position, start,
 FROM placed
 """
 
-_TERM = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
+# The terms of a line, as the operator's docstring says.
+_SEPARATORS = SEPARATORS.replace("'", "''")
+_TERMS = f"""list_filter(string_split(replace(translate(lower(line), '{_SEPARATORS}',
+    '{" " * len(SEPARATORS)}') || ' ', '. ', ' '), ' '), lambda x: x <> '')"""
 _TEMPLATES = ", ".join(f"('{name}', '{line}')" for name, line in TEMPLATES)
 
 LICENCE_SQL = rf"""
@@ -139,12 +142,12 @@ WITH files AS (
     FROM documents),
 tv AS (
     SELECT license, term, count(*) AS tf
-    FROM (SELECT license, unnest(regexp_extract_all(lower(line), '{_TERM}')) AS term
+    FROM (SELECT license, unnest({_TERMS}) AS term
           FROM (VALUES {_TEMPLATES}) AS t(license, line))
     GROUP BY license, term),
 vocabulary AS (SELECT DISTINCT term FROM tv),
 lines AS (
-    SELECT path, line_no, regexp_extract_all(lower(line), '{_TERM}') AS terms
+    SELECT path, line_no, {_TERMS} AS terms
     FROM (SELECT path, unnest(parts) AS line, unnest(range(0, len(parts))) AS line_no
           FROM (SELECT path, str_split_regex(text, '\r\n|[\n\r]') AS parts FROM files
                 WHERE path IS NOT NULL AND text IS NOT NULL))),

@@ -10,7 +10,9 @@ FILES = "path string, text string, is_licence_file boolean"
 
 
 def terms(line):
-    return re.findall(r"[a-z]+|[0-9]+(?:\.[0-9]+)*", line.lower())
+    """Runs of other characters than blanks and separators, less one dot at the end."""
+    parts = re.split("[ " + re.escape(licences.SEPARATORS) + "]", line.lower())
+    return [p for p in (re.sub(r"\.$", "", p) for p in parts) if p]
 
 
 def best(texts, threshold=licences.THRESHOLD):
