@@ -26,7 +26,7 @@ from croptide.llm.words import Words, chunks, mix, text_buffers, window_hashes,
 
 WINDOW = 13
 BUCKET_BYTES = 32 << 20  # of text per bucket; its index takes a few times as much memory
-PACK_BYTES = 8 << 20  # of text whose hashes are packed together
+PACK_BYTES = 4 << 20  # of text whose hashes are packed together
 SIEVE_SLOTS = 1 << 18  # words of 64 bits that may be broadcast
 
 PACKED = "bucket int, kind byte, docs binary, counts binary, keys binary"
