@@ -1,6 +1,7 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
-Every window of a document that is as long as a benchmark item is a candidate.
+Every window of a document that is as long as a benchmark item is a candidate;
+a document shorter than the item is one window as a whole.
 Windows that cannot reach the similarity, because too few of their shingles
 occur in any item, go first (a bound, nothing is lost). The others get a
 SimHash; an index of the items' fingerprints over ``radius + 1`` blocks of bits
@@ -133,29 +134,32 @@ def _search(words: Words, hashes: np.ndarray, doc: int, index: ItemIndex, marks:
     best: dict = {}
     cached: dict = {}
     for length, (items, _, _, weights) in index.lengths.items():
-        if hi - lo < length:
-            continue
         size = min(SHINGLE, length)
         n = length - size + 1
+        # A document shorter than the item is one window of fewer shingles.
+        width = min(hi - lo, length)
+        m = width - size + 1
+        if m < max(1.0, similarity * n - 1e-9):
+            continue
         if size not in cached:
             own = window_hashes(hashes[lo:hi], size)
             known = np.append(0, np.cumsum(marks[size][lo:lo + len(own)]))
             cached[size] = (own, known, None)
         own, known, total = cached[size]
-        # Both sides have n shingles, so similarity s needs 2ns / (1 + s) in common.
-        least = 2 * n * similarity / (1 + similarity) - 1e-9
-        start = np.flatnonzero(known[n:] - known[:-n] >= least)
+        # Of m and n shingles similarity s needs (m + n)s / (1 + s) in common.
+        least = (m + n) * similarity / (1 + similarity) - 1e-9
+        start = np.flatnonzero(known[m:] - known[:-m] >= least)
         if not len(start):
             continue
         if total is None:
             total = _bit_totals(own)
             cached[size] = (own, known, total)
-        window, item = index.near(length, _fingerprint(total, start, n))
+        window, item = index.near(length, _fingerprint(total, start, m))
         for w, k in zip(window.tolist(), item.tolist(), strict=True):
             s = int(start[w])
-            score = _weighted_jaccard(Counter(own[s:s + n].tolist()), weights[k])
+            score = _weighted_jaccard(Counter(own[s:s + m].tolist()), weights[k])
             if score >= similarity and score > best.get(items[k], (0.0, 0, 0))[0]:
-                best[items[k]] = (score, s, length)
+                best[items[k]] = (score, s, width)
     return best
 
 
@@ -228,8 +232,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     One row per row of ``docs`` and item whose best window reaches
     ``similarity``: the weighted Jaccard similarity of shingles of five words
     (weights are occurrences; lower case, ASCII punctuation separates words).
-    ``start`` is the first such window's word, ``n_words`` its length. Items of
-    fewer than five words match as a whole. Null and empty texts and items match
+    ``start`` is the first such window's word, ``n_words`` its length: the item's,
+    or the document's if that is shorter. Items of fewer than five words match as
+    a whole. Null and empty texts and items match
     nothing; a null ``doc_id`` or ``item_id`` is carried along; repeated rows of
     ``docs`` are repeated, repeated items are not; empty tables give an empty
     one; further columns are ignored.

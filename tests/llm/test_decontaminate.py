@@ -97,3 +97,39 @@ def test_odd_rows(spark):
              (3, ""), (4, "!!!"), (5, "short one"), (None, "one")]
     assert found(spark, docs, items) == brute(docs, items)
     assert found(spark, [], items) == [] and found(spark, docs, []) == []
+
+
+def brute_short(docs, items, least=0.8):
+    """Pairs of documents and longer items, whole against whole."""
+    out = {}
+    for i, text in docs:
+        for item, t in items:
+            own, w = words(t), words(text)
+            size = min(5, len(own))
+            if size <= len(w) < len(own):
+                got, want = shingles(w), shingles(own)
+                shared = sum((got & want).values())
+                score = shared / (sum(got.values()) + sum(want.values()) - shared)
+                if score >= least:
+                    out[i, item] = (round(score, 12), 0, len(w))
+    return out
+
+
+def test_documents_shorter_than_an_item(spark):
+    rng = random.Random(5)
+    vocabulary = [f"v{k}" for k in range(300)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=rng.choice([6, 14, 30, 41, 80]))))
+             for k in range(40)]
+    docs = [(0, " ".join(items[2][1].split()[:-1]))]
+    for i in range(1, 200):
+        part = rng.choice(items)[1].split()
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            part.pop(rng.choice([0, -1, rng.randrange(len(part))]))
+        docs.append((i, " ".join(part)))
+    want = brute_short(docs, items)
+    got = {r[:2]: r[2:] for r in found(spark, docs, items)}
+    assert all(want[k] == v for k, v in got.items())
+    assert len(want) > 60 and len(want) - len(got) <= 0.03 * len(want)
+    kept = decontaminate.remove_contaminated(spark.createDataFrame(docs, DOCS),
+                                             spark.createDataFrame(items, ITEMS))
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - {i for i, _ in got}
