@@ -253,16 +253,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
         "doc_id", "fp", "component_id")
 
 
+def leading_rows(docs: DataFrame, leaders: DataFrame) -> DataFrame:
+    """The rows of some ids, of repeats the one with the smallest text; null ids too."""
+    columns = docs.columns
+    row = F.struct(*(F.col(f"`{c}`") for c in columns))
+    led = (docs.join(leaders, "doc_id", "left_semi").groupBy("doc_id")
+           .agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("row")).select("row.*"))
+    return led.select(*columns).unionByName(docs.where("doc_id IS NULL"))
+
+
 def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """One document per component, the one with the smallest id; columns of ``docs``.
 
     Rows that repeat the leading id are repeats of it: the one with the smallest
     text stays. Rows with a null ``doc_id`` are kept, as no id tells them apart.
     """
-    columns = docs.columns
     found = near_duplicates(docs, shingle, radius)
-    leaders = found.where("doc_id = component_id").select("doc_id").distinct()
-    row = F.struct(*(F.col(f"`{c}`") for c in columns))
-    led = (docs.join(leaders, "doc_id", "left_semi").groupBy("doc_id")
-           .agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("row")).select("row.*"))
-    return led.select(*columns).unionByName(docs.where("doc_id IS NULL"))
+    return leading_rows(docs, found.where("doc_id = component_id").select("doc_id").distinct())
