@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.llm import (chat, decontaminate, embeddings, language, licences, mixing, pages,
-                          simhash, substrings, tokens)
-from croptide.llm.sql import CHAT_SQL, EMBEDDING_SQL, LICENCE_SQL, MIXING_SQL, SUBSTRING_SQL
+                          quality, simhash, substrings, tokens)
+from croptide.llm.sql import (CHAT_SQL, EMBEDDING_SQL, LICENCE_SQL, MIXING_SQL, QUALITY_SQL,
+                              SUBSTRING_SQL)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -91,11 +92,15 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", "n_chars")
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mixing, op2_token_counts, op3_language, op4_embedding_neardup,
         op5_simhash_neardup, op6_substring_dedup, op7_licences, op8_chat,
-        op9_decontamination, op10_html)}
+        op9_decontamination, op10_html, op13_quality)}
 
 SQL = {
     "op1_mixing": MIXING_SQL,
@@ -103,4 +108,5 @@ SQL = {
     "op6_substring_dedup": SUBSTRING_SQL,
     "op7_licences": LICENCE_SQL,
     "op8_chat": CHAT_SQL,
+    "op13_quality": QUALITY_SQL,
 }

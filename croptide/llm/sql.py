@@ -196,3 +196,45 @@ SELECT p.doc_id, p.path, coalesce(o.license, n.license) AS license, round(o.scor
        CASE WHEN o.path IS NULL THEN n.directory END AS directory
 FROM placed p LEFT JOIN own o ON o.path = p.path LEFT JOIN nearest n ON n.place = p.place
 """
+
+QUALITY_SQL = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+windows AS (
+    SELECT id, words[pos:pos + 2] AS w, pos
+    FROM (SELECT id, words, unnest(range(1, len(words) - 1)) AS pos FROM split)),
+again AS (
+    SELECT id, pos FROM (SELECT id, pos, count(*) OVER (PARTITION BY id, w) AS n FROM windows)
+    WHERE n > 1),
+covered AS (
+    SELECT id, count(DISTINCT pos + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k)
+    GROUP BY id),
+measured AS (
+    SELECT s.*, len(words)::BIGINT AS n_words,
+           length(array_to_string(words, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+           coalesce(c.n, 0)::BIGINT AS n_repeat_words
+    FROM split s LEFT JOIN covered c USING (id)),
+judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           word_chars < 2 * n_words OR word_chars > 15 * n_words
+           OR 10 * n_symbols > n_words
+           OR 10 * n_dup_lines > 3 * len(lines)
+           OR 2 * len(regexp_extract_all(text, '\p{Lu}')) > len(regexp_extract_all(text, '\p{L}'))
+           OR 5 * len(list_filter(words, lambda x: NOT regexp_matches(x, '\p{L}'))) > n_words
+           OR 10 * len(regexp_extract_all(text, '\p{N}')) > 3 * word_chars
+           OR len(list_filter(words, lambda x: length(x) > 200)) > 0
+           OR 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•‣◦]')))
+              > 9 * len(lines)
+           OR 10 * len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$')))
+              > 3 * len(lines) AS rejected
+    FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rejected AS kept
+FROM judged
+"""
