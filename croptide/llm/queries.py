@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.llm import (chat, decontaminate, embeddings, language, licences, mixing, pages,
-                          quality, simhash, substrings, tokens)
+                          quality, simhash, substrings, tokens, trie)
 from croptide.llm.sql import (CHAT_SQL, EMBEDDING_SQL, LICENCE_SQL, MIXING_SQL, QUALITY_SQL,
-                              SUBSTRING_SQL)
+                              SUBSTRING_SQL, TRIE_SQL)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -92,6 +92,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", "n_chars")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).drop("failed_rule")
 
@@ -100,7 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mixing, op2_token_counts, op3_language, op4_embedding_neardup,
         op5_simhash_neardup, op6_substring_dedup, op7_licences, op8_chat,
-        op9_decontamination, op10_html, op13_quality)}
+        op9_decontamination, op10_html, op12_prefix_trie, op13_quality)}
 
 SQL = {
     "op1_mixing": MIXING_SQL,
@@ -108,5 +112,6 @@ SQL = {
     "op6_substring_dedup": SUBSTRING_SQL,
     "op7_licences": LICENCE_SQL,
     "op8_chat": CHAT_SQL,
+    "op12_prefix_trie": TRIE_SQL,
     "op13_quality": QUALITY_SQL,
 }

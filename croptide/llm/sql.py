@@ -238,3 +238,63 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT rejected AS kept
 FROM judged
 """
+
+#: CRC-32 by its definition, bit by bit, over the characters of the decimal id.
+TRIE_SQL = r"""
+WITH convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+               lambda s, b: list_reduce(
+                   list_prepend(xor(s, b), list_transform(range(8), lambda i: 0::BIGINT)),
+                   lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT)
+                                     ELSE x // 2 END)),
+               4294967295::BIGINT) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id
+                              ORDER BY turn NULLS FIRST, coalesce(role, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS own, t.pos, t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, t.pos, t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+prefixed AS (
+    SELECT conv_id, row_number() OVER w AS depth, text,
+           list({'role': role, 'text': text}) OVER w AS prefix
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    UNION ALL
+    SELECT conv_id, 0, '', [] FROM convs),
+passed AS (
+    SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+           min(conv_id) OVER (PARTITION BY depth, prefix) AS rep,
+           count(*) OVER (PARTITION BY depth, prefix) AS n_convs,
+           max(depth) OVER (PARTITION BY conv_id) AS last
+    FROM prefixed),
+nodes AS (
+    SELECT p.conv_id, p.depth, q.rep AS parent_conv_id, p.n_convs,
+           (p.n_convs - 1) * p.words AS saved
+    FROM passed p LEFT JOIN passed q ON q.conv_id = p.conv_id AND q.depth = p.depth - 1
+    WHERE p.rep = p.conv_id),
+children AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM nodes
+    WHERE parent_conv_id IS NOT NULL GROUP BY ALL),
+weighed AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children
+    FROM nodes n LEFT JOIN children c USING (conv_id, depth)),
+totals AS (
+    SELECT a.rep AS conv_id, a.depth, sum((w.n_children = 0)::BIGINT) AS n_leaves,
+           sum(w.saved) AS saved_tokens
+    FROM weighed w JOIN passed a ON a.conv_id = w.conv_id AND a.depth <= w.depth GROUP BY ALL),
+ends AS (
+    SELECT rep AS conv_id, depth, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+    FROM passed WHERE depth = last GROUP BY ALL)
+SELECT w.conv_id, w.depth::BIGINT AS depth, w.parent_conv_id, w.n_convs::BIGINT AS n_convs,
+       w.n_children::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves,
+       t.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM weighed w JOIN totals t USING (conv_id, depth) LEFT JOIN ends e USING (conv_id, depth)
+"""
