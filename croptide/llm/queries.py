@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from croptide.llm import (chat, decontaminate, embeddings, language, licences, mixing, pages,
+from croptide.llm import (alignment, chat, decontaminate, embeddings, language, licences, mixing, pages,
                           quality, simhash, substrings, tokens, trie)
 from croptide.llm.sql import (CHAT_SQL, EMBEDDING_SQL, LICENCE_SQL, MIXING_SQL, QUALITY_SQL,
                               SUBSTRING_SQL, TRIE_SQL)
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +93,13 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", "n_chars")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.link_statistics(_table(spark, sf_dir, "documents"),
+                                     *map(public_tokenizers.path, ALIGNED))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -104,7 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mixing, op2_token_counts, op3_language, op4_embedding_neardup,
         op5_simhash_neardup, op6_substring_dedup, op7_licences, op8_chat,
-        op9_decontamination, op10_html, op12_prefix_trie, op13_quality)}
+        op9_decontamination, op10_html, op11_alignment, op12_prefix_trie, op13_quality)}
 
 SQL = {
     "op1_mixing": MIXING_SQL,
