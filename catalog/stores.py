@@ -50,6 +50,16 @@ def q_read_grid(spark, sf):
     return read_grid(spark, path)
 
 
+def q_read_grid_unlike(spark, sf):
+    """One folder, soil in some files and, for some years, rain in others."""
+    path = stage_path(spark, "grid")
+    g = dense_grid(spark, sf)
+    as_input(g, "soil", "swvl1").repartition(2).write.parquet(path)
+    (as_input(g.filter("year(date) <= 1998"), "precip", "tp").repartition(2)
+     .write.mode("append").parquet(path))
+    return read_grid(spark, path)
+
+
 def q_read_index_store(spark, sf):
     path = stage_path(spark, "index")
     static = F.col("lat_i") * 10 + F.col("lon_i")
@@ -206,6 +216,10 @@ QUERIES = {
     "read_grid": (q_read_grid, f"""
 WITH {DENSE}
 SELECT date AS valid_time, lat AS latitude, lon AS longitude, soil AS swvl1 FROM dense"""),
+    "read_grid_unlike": (q_read_grid_unlike, f"""
+WITH {DENSE}
+SELECT date AS valid_time, lat AS latitude, lon AS longitude, soil AS swvl1,
+       CASE WHEN year(date) <= 1998 THEN precip END AS tp FROM dense"""),
     "read_index_store": (q_read_index_store, f"WITH {GRID} SELECT {K}, soil FROM grid"),
     "write_index_store": (q_write_index_store, f"""
 WITH {GRID}{index_sql('grid')}

@@ -34,6 +34,70 @@ def test_read_grid(spark, tmp_path):
             read_grid(spark, str(tmp_path / missing))
 
 
+CELLS = "time date, latitude double, longitude double"
+
+
+def grid_file(spark, path, columns, rows, **kinds):
+    kind = kinds.get("kind", "double")
+    frame = spark.createDataFrame(rows, CELLS + "".join(f", {c} {kind}" for c in columns))
+    frame.coalesce(1).write.mode("append").parquet(path)
+
+
+def test_unlike_files_become_one_row_per_cell(spark, tmp_path):
+    path = str(tmp_path / "g")
+    nan = float("nan")
+    grid_file(spark, path, ["t2m"], [(day(0), 1.0, 2.0, 280.0), (day(1), 1.0, 2.0, None)])
+    grid_file(spark, path, ["tp"], [(day(0), 1.0, 2.0, 5.0), (day(2), 1.0, 2.0, 7.0)])
+    grid_file(spark, path, ["tp", "t2m"], [(day(1), 1.0, 2.0, nan, 281.0),
+                                           (day(0), 1.0, 2.0, 5.0, 280.0)])
+    out = read_grid(spark, path)
+    assert sorted((r["valid_time"], r["t2m"], r["tp"]) for r in out.collect()) == [
+        (day(0), 280.0, 5.0), (day(1), 281.0, None), (day(2), None, 7.0)]
+    grid_file(spark, path, ["tp"], [(day(2), 1.0, 2.0, 8.0)])
+    with pytest.raises(Exception, match="conflicting values of tp at .*longitude=2.0"):
+        read_grid(spark, path).collect()
+
+
+def test_files_of_one_kind_are_only_united(spark, tmp_path):
+    path = str(tmp_path / "g")
+    for k in range(2):
+        grid_file(spark, path, ["t2m", "tp"], [(day(k), 1.0, 2.0, 280.0, 1.0)])
+    out = read_grid(spark, path)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    one = str(tmp_path / "one")
+    grid_file(spark, one, ["tp"], [(day(0), 1.0, 2.0, 1.0), (day(0), 1.0, 2.0, 2.0)])
+    assert read_grid(spark, one).count() == 2  # told apart by nothing: an error later on
+
+
+def test_unlike_files_other_coordinates(spark, tmp_path):
+    """Levels, other spellings and named coordinates keep rows apart; text too."""
+    path = str(tmp_path / "g")
+    for name, column, kind in (("lat", "t", 1.0), ("latitude", "q", 2.0)):
+        frame = spark.createDataFrame(
+            [(day(0), 1.0, 2.0, level, 9, site, kind) for level in (500, 850) for site in "ab"],
+            f"valid_time date, {name} double, lon double, level int, step int, site string, "
+            f"{column} double")
+        frame.coalesce(1).write.mode("append").parquet(path)
+    out = read_grid(spark, path, coords=["step"])
+    assert set(out.columns) == {"valid_time", "latitude", "lon", "level", "step", "site", "t", "q"}
+    assert sorted((r["latitude"], r["level"], r["site"], r["t"], r["q"]) for r in out.collect()) == [
+        (1.0, level, site, 1.0, 2.0) for level in (500, 850) for site in "ab"]
+
+
+def test_unlike_types_and_headers_are_errors(spark, tmp_path):
+    path = str(tmp_path / "g")
+    grid_file(spark, path, ["tp"], [(day(0), 1.0, 2.0, 1.0)])
+    grid_file(spark, path, ["tp"], [(day(1), 1.0, 2.0, "x")], kind="string")
+    with pytest.raises(Exception, match="(?i)merg"):
+        read_grid(spark, path).collect()
+    csv = str(tmp_path / "c")
+    for column in ("t2m", "tp"):
+        spark.createDataFrame([(day(0), 1.0, 2.0, 1.0)], f"{CELLS}, {column} double").write.mode(
+            "append").option("header", True).csv(csv)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_grid(spark, csv, file_format="csv", schema=f"{CELLS}, t2m double").collect()
+
+
 def test_index_store_round_trip(spark, tmp_path):
     path = str(tmp_path / "store")
     wide = indices.compute_indices(
