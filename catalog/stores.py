@@ -166,14 +166,33 @@ def q_load_observations(spark, sf):
     path = stage_path(spark, "obs")
     obs = observations(spark, sf).withColumn("double_value", F.col("value") * 2)
     load_observations(obs, path, "value", 2024, 2024, "daily_maximum", "utc-05:00",
-                      days=range(1, 16))
+                      days=range(1, 16), product_type=None)
     load_observations(obs, path, ["value", "double_value"], 2024, 2024, "daily_maximum",
-                      "utc-05:00")
+                      "utc-05:00", product_type=None)
     return spark.read.parquet(path).select(
-        "date", "latitude", "longitude", "level", "variable",
+        "date", "latitude", "longitude", "level", "product_type", "variable",
         rounded("value").alias("value"), F.col("year").cast("long").alias("year"))
 
 
+def q_load_requests(spark, sf):
+    """Statistics and products of one variable side by side; another request replaces its own."""
+    path = stage_path(spark, "obs")
+    obs = observations(spark, sf).withColumn("product_type", F.when(
+        F.col("product_type") == "view", "reanalysis").otherwise(F.col("product_type")))
+
+    def load(statistic, **request):
+        load_observations(obs, path, "value", 2024, 2024, statistic, "utc-05:00", **request)
+
+    load("daily_mean", days=range(1, 16))
+    load("daily_maximum")
+    load("daily_maximum", product_type=["click", "reanalysis"])
+    load("daily_mean", on_mismatch="replace")
+    load("daily_minimum", product_type="click", pressure_level=[1, 2], frequency="6h")
+    return spark.read.parquet(path).select(
+        "date", "latitude", "longitude", "level", "product_type", "statistic",
+        rounded("value").alias("value"))
+
+
 COARSE_SOIL = """,
 t(j, i0, i1, w) AS (VALUES (0, 0, 0, 0.0E0), (1, 0, 2, 0.5E0), (2, 2, 2, 0.0E0),
                            (3, 2, 4, 0.5E0), (4, 4, 4, 0.0E0)),
@@ -252,16 +271,37 @@ SELECT r_regionkey AS region, r_name AS region_abbr, CAST(pos AS INT) AS pos,
 FROM region CROSS JOIN (VALUES (0, -0.5E0, -0.5E0), (1, 0.5E0, -0.5E0),
   (2, 0.9E0, 4.5E0), (3, -0.1E0, 4.5E0), (4, -0.5E0, -0.5E0)) AS t(pos, dx, y)"""),
     # Local days of the local year 2024. The first request stored `value` for half a
-    # month, and those partitions are kept.
+    # month, and those partitions are kept. Products are never mixed.
     "load_observations": (q_load_observations, f"""
 WITH {OBSERVATIONS}, local AS (
-  SELECT CAST(valid_time - INTERVAL 5 HOUR AS DATE) AS date, latitude, longitude, level, value
+  SELECT CAST(valid_time - INTERVAL 5 HOUR AS DATE) AS date, latitude, longitude, level,
+         product_type, value
   FROM obs),
+kept AS (
+  SELECT level, product_type FROM local WHERE year(date) = 2024 AND day(date) <= 15
+  GROUP BY level, product_type),
 d AS (
-  SELECT 'value' AS variable, * FROM local WHERE day(date) <= 15
+  SELECT 'value' AS variable, l.* FROM local l LEFT JOIN kept k USING (level, product_type)
+  WHERE k.level IS NULL OR day(date) <= 15
   UNION ALL
-  SELECT 'double_value', date, latitude, longitude, level, value * 2 FROM local)
-SELECT date, latitude, longitude, level, variable, {r('max(value)')} AS value,
+  SELECT 'double_value', date, latitude, longitude, level, product_type, value * 2 FROM local)
+SELECT date, latitude, longitude, level, product_type, variable, {r('max(value)')} AS value,
        year(date) AS year
-FROM d WHERE year(date) = 2024 GROUP BY date, latitude, longitude, level, variable"""),
+FROM d WHERE year(date) = 2024
+GROUP BY date, latitude, longitude, level, product_type, variable"""),
+    "load_requests": (q_load_requests, f"""
+WITH {OBSERVATIONS}, local AS (
+  SELECT CAST(valid_time - INTERVAL 5 HOUR AS DATE) AS date, hour(valid_time) AS hour,
+         latitude, longitude, level, value,
+         CASE product_type WHEN 'view' THEN 'reanalysis' ELSE product_type END AS product_type
+  FROM obs WHERE year(CAST(valid_time - INTERVAL 5 HOUR AS DATE)) = 2024)
+SELECT date, latitude, longitude, level, product_type, 'daily_mean' AS statistic,
+       {r('avg(value)')} AS value
+FROM local WHERE product_type = 'reanalysis' GROUP BY ALL
+UNION ALL
+SELECT date, latitude, longitude, level, product_type, 'daily_maximum', {r('max(value)')}
+FROM local WHERE product_type IN ('click', 'reanalysis') GROUP BY ALL
+UNION ALL
+SELECT date, latitude, longitude, level, product_type, 'daily_minimum', {r('min(value)')}
+FROM local WHERE product_type = 'click' AND level IN (1, 2) AND hour % 6 = 0 GROUP BY ALL"""),
 }

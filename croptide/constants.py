@@ -19,6 +19,9 @@ VARIABLE_ALIASES = {
     "v_wind": ("v10", "vas", "10m_v_component_of_wind"),
 }
 
+# Kind of observations that a request means unless it names another.
+DEFAULT_PRODUCT = "reanalysis"
+
 # Folder of each physical variable below the base path of the index run.
 INPUT_FOLDERS = {
     "tmax": "era5_max_2m_temperature",

@@ -1,11 +1,14 @@
-"""Writers: index store, feature tables, missing partitions, stages."""
+"""Writers: index store, feature tables, missing partitions, requests, stages."""
 
+from croptide.sinks.requests import RequestMismatch, store_request, stored_requests
 from croptide.sinks.stages import clear_stages, fingerprint, materialize_stage
 from croptide.sinks.tables import (
+    existing_keys,
     write_features,
     write_index_store,
     write_missing_partitions,
 )
 
-__all__ = ["clear_stages", "fingerprint", "materialize_stage", "write_features",
+__all__ = ["RequestMismatch", "clear_stages", "existing_keys", "fingerprint",
+           "materialize_stage", "store_request", "stored_requests", "write_features",
            "write_index_store", "write_missing_partitions"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -78,16 +78,17 @@ def write_features(df: DataFrame, directory: str, base: str, parquet: bool = Tru
     return result
 
 
-def existing_keys(spark: SparkSession, path: str, keys: Sequence[str]
-                  ) -> list[tuple[str | None, ...]]:
-    """The key partitions with a data file below ``path``, as folder names say.
+def partition_files(spark: SparkSession, path: str, keys: Sequence[str]
+                    ) -> dict[tuple[str | None, ...], frozenset[str]]:
+    """Names of the data files of every key partition below ``path``.
 
-    Values are text (None for NULL). Only folders are listed, no file is opened.
+    Keys are text as folder names have it (None for NULL). Only folders are
+    listed, no file is opened.
     """
     jvm = spark._jvm
     pattern = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{k}=*" for k in keys), "*"]))
     fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = set()
+    found: dict[tuple[str | None, ...], set[str]] = {}
     for status in fs.globStatus(pattern) or ():
         file = status.getPath()
         if file.getName()[0] in "_.":
@@ -97,24 +98,32 @@ def existing_keys(spark: SparkSession, path: str, keys: Sequence[str]
             value = unquote(folder.getName()[len(key) + 1:])
             parts.append(None if value == _NULL_FOLDER else value)
             folder = folder.getParent()
-        found.add(tuple(reversed(parts)))
-    return sorted(found, key=str)
+        found.setdefault(tuple(reversed(parts)), set()).add(file.getName())
+    return {k: frozenset(v) for k, v in found.items()}
+
+
+def existing_keys(spark: SparkSession, path: str, keys: Sequence[str]
+                  ) -> list[tuple[str | None, ...]]:
+    """The key partitions with a data file below ``path``, in order."""
+    return sorted(partition_files(spark, path, keys), key=str)
 
 
 def write_missing_partitions(df: DataFrame, path: str, overwrite: bool = False,
                              keys: Sequence[str] = ("variable", "year"),
-                             max_literal_keys: int | None = None) -> str:
+                             max_literal_keys: int | None = None,
+                             replace: Collection[tuple] = ()) -> str:
     """Write the partitions (of variable and year by default) that do not exist yet.
 
     Existing ones are kept and their rows are not even read where the input is
     partitioned alike, because up to ``max_literal_keys`` kept keys become a
     filter; more are an anti-join. ``overwrite`` replaces the partitions that
-    occur in ``df`` and leaves all others alone.
+    occur in ``df`` and leaves all others alone, ``replace`` does so for some.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     max_literal_keys = max_literal_keys or MAX_LITERAL_KEYS
-    done = [] if overwrite else existing_keys(df.sparkSession, path, keys)
+    done = [] if overwrite else [k for k in existing_keys(df.sparkSession, path, keys)
+                                 if k not in set(replace)]
     if len(done) > max_literal_keys:
         have = df.sparkSession.createDataFrame(
             done, ", ".join(f"_have_{k} string" for k in keys))
@@ -130,7 +139,7 @@ def write_missing_partitions(df: DataFrame, path: str, overwrite: bool = False,
             kept |= match
         df = df.filter(~kept)
     (df.select(*rest, *keys).hint("rebalance", *keys)
-     .write.mode("overwrite" if overwrite else "append")
+     .write.mode("overwrite" if overwrite or replace else "append")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(path))
     return path

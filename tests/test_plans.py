@@ -1,3 +1,4 @@
+import shutil
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -15,7 +16,7 @@ from croptide.plans import (
     process_regions_daily,
     weekly_predictors,
 )
-from croptide.sinks import write_index_store
+from croptide.sinks import RequestMismatch, write_index_store
 
 
 def write_inputs(spark, base, days=40, skip=()):
@@ -213,6 +214,75 @@ def test_loads_of_other_levels(spark, tmp_path):
             (500, 500.0), (850, 850.0)]
 
 
+def products(spark):
+    return spark.createDataFrame(
+        [(datetime(2020, 1, d, h), 1.0, 2.0, kind, scale * (d + h))
+         for d in (2, 20) for h in (6, 12) for kind, scale in (("reanalysis", 1.0),
+                                                               ("ensemble_members", 100.0))],
+        "valid_time timestamp_ntz, latitude double, longitude double, product_type string, "
+        "t double")
+
+
+def loaded(spark, path):
+    return {(r["statistic"], r["product_type"], r["date"].day): r["value"]
+            for r in spark.read.parquet(path).collect()}
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_another_statistic_or_product_is_stored_as_well(spark, tmp_path, order):
+    path, obs = str(tmp_path / "obs"), products(spark)
+    requests = [{"daily_stat": "daily_mean"}, {"daily_stat": "daily_max"},
+                {"daily_stat": "daily_mean", "product_type": "ensemble_members"}]
+    for request in requests[::order]:
+        load_observations(obs, path, "t", 2020, 2020, **request)
+    assert loaded(spark, path) == {
+        ("daily_mean", "reanalysis", 2): 11.0, ("daily_mean", "reanalysis", 20): 29.0,
+        ("daily_maximum", "reanalysis", 2): 14.0, ("daily_maximum", "reanalysis", 20): 32.0,
+        ("daily_mean", "ensemble_members", 2): 1100.0,
+        ("daily_mean", "ensemble_members", 20): 2900.0}
+
+
+def test_requests_are_compared_before_a_partition_is_skipped(spark, tmp_path, caplog):
+    path, obs = str(tmp_path / "obs"), products(spark)
+
+    def load(**kw):
+        load_observations(obs, path, "t", 2020, 2020, **kw)
+        return {d for s, p, d in loaded(spark, path) if p == "reanalysis"}
+
+    assert load(days=range(1, 11)) == {2}
+    assert load(days=["01", "02", "03", *range(4, 11)], on_mismatch="error") == {2}
+    assert not caplog.records
+    assert load() == {2}  # kept, and said so
+    assert "another request" in caplog.text
+    with pytest.raises(RequestMismatch, match="2020"):
+        load(on_mismatch="error")
+    with pytest.raises(RequestMismatch):
+        load(days=range(1, 11), frequency="6h", on_mismatch="error")
+    # Another product's partitions have nothing to do with it.
+    load(product_type="ensemble_members", on_mismatch="error")
+    assert load(on_mismatch="replace") == {2, 20}
+    assert load(on_mismatch="error") == {2, 20}
+    assert load(days=[20], overwrite=True) == {20}
+    assert load(days=[20], on_mismatch="error") == {20}
+    assert load(product_type=None, days=[20]) == {20}
+    assert ("daily_mean", "ensemble_members", 2) in loaded(spark, path)
+    with pytest.raises(ValueError, match="on_mismatch"):
+        load(on_mismatch="other")
+
+
+def test_partitions_without_a_note_or_a_statistic(spark, tmp_path):
+    path, obs = str(tmp_path / "obs"), products(spark)
+    load_observations(obs, path, "t", 2020, 2020)
+    shutil.rmtree(f"{path}/_requests")
+    with pytest.raises(RequestMismatch):
+        load_observations(obs, path, "t", 2020, 2020, on_mismatch="error")
+    old = str(tmp_path / "old")
+    obs.withColumn("variable", F.lit("t")).withColumn("year", F.lit(2020)).write.partitionBy(
+        "variable", "year").parquet(old)
+    with pytest.raises(ValueError, match="statistic"):
+        load_observations(obs, old, "t", 2020, 2020)
+
+
 def test_wrapped_axis_holds_a_meridian_once(spark):
     from croptide.plans.regional import regional_features
 
@@ -230,14 +300,16 @@ def test_regional_job_reads_the_values_once(spark, tmp_path):
     """Axes once and values once, whatever is written."""
     store, outlines = store_and_outlines(spark, tmp_path)
     executions = spark._jsparkSession.sharedState().statusStore()
-    before = executions.executionsCount()
+    # The store keeps the last executions only, so ids, not places in it, tell which are new.
+    old = executions.executionsList()
+    last = max((old.apply(k).executionId() for k in range(old.size())), default=-1)
     out = process_regions_daily(spark, store, outlines, str(tmp_path / "o"), "daily",
                                 save_csv=True)
     assert out["output_csv_path"] and out["output_parquet_path"]
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
-    plans = executions.executionsList(before, 1000)
+    plans = executions.executionsList()
     reads = sum(f"{store}]" in plans.apply(k).physicalPlanDescription()
-                for k in range(plans.size()))
+                for k in range(plans.size()) if plans.apply(k).executionId() > last)
     assert reads == 2
 
 
