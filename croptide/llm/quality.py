@@ -62,19 +62,21 @@ def _split_words(text: Column) -> Column:
 def _repeated_words(df: DataFrame) -> DataFrame:
     """Add ``n_repeat_words``: words in windows that the text holds more than once.
 
-    Windows are compared as their words joined by blanks. Only a text with equal
-    windows is sorted: in order of the windows equal ones are neighbours, and the
+    Windows are compared as their words joined by blanks; a text whose windows have
+    different hashes has no equal ones. Only the other texts are sorted: in order of the windows equal ones are neighbours, and the
     places of these, in order again, say how many words they cover. Every step is
     at most a sort of the text's own windows.
     """
-    keyed = df.withColumn("_windows", F.when(
-        F.size("words") >= WINDOW, F.transform(
-            F.sequence(F.lit(0), F.size("words") - WINDOW),
-            lambda i: F.concat_ws(" ", *(F.get("words", i + k) for k in range(WINDOW)))))
-        .otherwise(F.array().cast("array<string>")))
+    def windows(make):
+        return F.transform(F.sequence(F.lit(0), F.size("words") - WINDOW),
+                           lambda i: make(*(F.get("words", i + k) for k in range(WINDOW)), i))
+
+    keyed = df.withColumn("_hashes", F.when(
+        F.size("words") >= WINDOW, windows(lambda *x: F.xxhash64(*x[:-1]))))
     placed = keyed.withColumn("_placed", F.when(
-        F.size(F.array_distinct("_windows")) < F.size("_windows"),
-        F.sort_array(F.transform("_windows", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))))
+        F.size(F.array_distinct("_hashes")) < F.size("_hashes"),
+        F.sort_array(windows(lambda *x: F.struct(F.concat_ws(" ", *x[:-1]).alias("w"),
+                                                 x[-1].alias("i"))))))
 
     def again(x: Column, j: Column) -> Column:
         before, after = F.get("_placed", j - 1)["w"], F.get("_placed", j + 1)["w"]
@@ -88,7 +90,7 @@ def _repeated_words(df: DataFrame) -> DataFrame:
                         lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
     total = F.aggregate(covers, F.lit(0), lambda s, x: s + x)
     return starts.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long")).drop(
-        "_windows", "_placed", "_starts")
+        "_hashes", "_placed", "_starts")
 
 
 def measured(texts: DataFrame) -> DataFrame:
@@ -101,7 +103,7 @@ def measured(texts: DataFrame) -> DataFrame:
     split = (texts.withColumn("text", text)
              .withColumn("words", _split_words(F.col("text")))
              .withColumn("lines", F.filter(F.split("text", "\n"),
-                                           lambda x: _without(x, BLANKS) != "")))
+                                           lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))))
     counted = split.select(
         "*", F.size("words").cast("long").alias("n_words"),
         F.length(_without(F.col("text"), BLANKS)).cast("long").alias("word_chars"),
