@@ -5,19 +5,18 @@ groups. They are found by divide and conquer: a common end near the middle of an
 interval is located by bisection, both halves are treated in the same way, and an
 interval without a common end inside is a group.
 
-A single blank between two other characters is always such an end, as no token of
-either vocabulary crosses it. So texts are cut there first and each distinct piece is
-encoded and divided once.
+Before a single blank or line feed between two other characters there is always such
+an end, as no token of either vocabulary crosses it. So texts are cut there first and
+each distinct piece is encoded and divided once.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,47 +27,55 @@ from pyspark.sql import functions as F
 from croptide.llm.storage import stage
 from croptide.llm.words import chunks, text_buffers
 
-BLOCK_BYTES = 2 << 20  # text of the documents that are counted together (one at least)
-PIECE_CACHE = 100_000  # pieces that a task remembers at most
-PIECE_BYTES = 200  # longer pieces are not remembered
+BLOCK_BYTES = 1 << 20  # text of the documents that are counted together (one at least)
+PIECE_CACHE = 200_000  # pieces that a task remembers, about
+RUN = 2_000  # pieces encoded as one text
+
+# Pieces that begin and end so that others can come before and after them; none holds
+# the character that B writes for a blank.
+_JOINS = re.compile(rb"(?!.*\xe2\x96\x81)[ \n](?:[\x21-\x7e]|[\xc3-\xdf\xe4-\xf4].)"
+                    rb"(?:.{0,200}(?:[\x21-\x7e]|[\xc3-\xdf][\x80-\xbf]))?", re.DOTALL)
 
 BLANK = "▁"  # stands for a blank in B's pieces
 
 
-def shared_groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
-    """Groups ``(a0, a1, b0, b1)`` of tokens, in order; both lists end at the same offset."""
-    groups, open_ = [], [(0, len(a_ends), 0, len(b_ends))]
-    if len(a_ends) == 1 or len(b_ends) == 1:
-        return open_
-    while open_:
-        a0, a1, b0, b1 = open_.pop()
-        cut = None
-        middle, inner = (a0 + a1 - 1) // 2, a1 - 1  # the last token's end is no cut inside
-        for step in range(max(middle - a0, inner - 1 - middle) + 1):
-            for i in (middle - step, middle + step) if step else (middle,):
-                if a0 <= i < inner:
-                    j = bisect_left(b_ends, a_ends[i], b0, b1 - 1)
-                    if j < b1 - 1 and b_ends[j] == a_ends[i]:
-                        cut = (i + 1, j + 1)
-                        break
-            if cut:
-                break
-        if cut:
-            open_ += [(cut[0], a1, cut[1], b1), (a0, cut[0], b0, cut[1])]
-        else:
-            groups.append((a0, a1, b0, b1))
-    return groups
-
-
-def overlaps(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """Pairs of tokens whose bytes overlap, for two lists that end at the same offset."""
-    out, i, j = [], 0, 0
-    while i < len(a_ends):
-        out.append((i, j))
-        a, b = a_ends[i], b_ends[j]
-        i += a <= b
-        j += b <= a
-    return out
+def shared_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the tokens, in A and in B, whose ends are shared; the last ones' are.
+
+    All open intervals are halved at a time. Each tries the ends of A from its
+    middle outwards, by bisection among B's; what lies on both sides of the first
+    shared one are intervals of the next round, and one without is a group.
+    """
+    low, high = np.array([0]), np.array([len(a_ends) - 1])  # ends strictly inside
+    cuts = [high]
+    while len(low):
+        middle, found = (low + high - 1) // 2, np.full(len(low), -1)
+        far = np.maximum(middle - low, high - 1 - middle)
+        step, open_ = 0, np.flatnonzero(high > low)
+        while len(open_):
+            for side in (-step, step) if step else (0,):
+                at = middle[open_] + side
+                inside = (at >= low[open_]) & (at < high[open_]) & (found[open_] < 0)
+                tried, at = open_[inside], at[inside]
+                shared = b_ends[np.searchsorted(b_ends, a_ends[at])] == a_ends[at]
+                found[tried[shared]] = at[shared]
+            step += 1
+            open_ = open_[(found[open_] < 0) & (far[open_] >= step)]
+        cut = found >= 0
+        cuts.append(found[cut])
+        low, high = (np.concatenate([low[cut], found[cut] + 1]),
+                     np.concatenate([found[cut], high[cut]]))
+    in_a = np.sort(np.concatenate(cuts))
+    return in_a, np.searchsorted(b_ends, a_ends[in_a])
+
+
+def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of tokens whose bytes overlap, for two lists that end at the same offset.
+
+    Between two neighbouring ends of either side lies one token of each.
+    """
+    ends = np.union1d(a_ends, b_ends)
+    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
 def byte_level_table() -> dict[str, int]:
@@ -84,13 +91,13 @@ def byte_level_table() -> dict[str, int]:
 
 @dataclass(slots=True)
 class Piece:
-    """One piece of text with a blank before it, encoded and divided."""
+    """One piece of text, encoded and divided."""
 
     n_a: int
     n_b: int
     n_groups: int
-    links: np.ndarray  # A's id * 2**32 + B's id
-    text: str  # groups as ``a1,a2|b1;a3|b2``
+    links: bytes  # of int64, A's id * 2**32 + B's id
+    text: str  # groups as ``a1,a2|b1;a3|b2;``
     whole: bool  # both tokenizers give back the bytes
 
 
@@ -116,35 +123,99 @@ class Pieces:
                 raise ValueError(f"a piece crosses a blank: {piece!r}")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i)
                                 else piece.replace(BLANK, " ").encode())
-        self.known: dict[bytes, Piece] = {}
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, dtype=np.int64)
+        self.a_sizes[list(self.a_bytes)] = [len(v) for v in self.a_bytes.values()]
+        self.b_sizes = np.array([len(v) for v in self.b_bytes])
+        # Each id of A and then of B, as one that isn't and one that is its group's last.
+        self.names = [f"{i}{end}" for n, ends in ((len(self.a_sizes), ",|"),
+                                                  (len(self.b_sizes), ",;"))
+                      for i in range(n) for end in ends]
+        self.recent: dict[bytes, Piece] = {}
+        self.older: dict[bytes, Piece] = {}
 
     def encode(self, keys: list[bytes]) -> list[Piece]:
-        if len(self.known) > PIECE_CACHE:
-            self.known.clear()
-        new = [k for k in keys if k not in self.known]
-        texts = [k.decode("utf-8", "replace") for k in new]
-        made = {k: self._divide(b" " + k, a.ids, b) for k, a, b in zip(
-            new, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
-            self.b.encode(texts, num_threads=1) if texts else [], strict=True)}
-        found = [made.get(k) or self.known[k] for k in keys]
-        self.known.update((k, p) for k, p in made.items() if len(k) <= PIECE_BYTES)
-        return found
-
-    def _divide(self, text: bytes, a: list[int], b: list[int]) -> Piece:
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != text or b"".join(b_parts) != text:
-            return Piece(0, 0, 0, np.zeros(0, np.int64), "", False)
-        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
-        groups = shared_groups(a_ends, b_ends)
-        links = np.array([a[i] << 32 | b[j] for i, j in overlaps(a_ends, b_ends)], np.int64)
-        a_names, b_names = [str(i) for i in a], [str(i) for i in b]
-        return Piece(len(a), len(b), len(groups), links, ";".join(
-            [f"{','.join(a_names[a0:a1])}|{','.join(b_names[b0:b1])}"
-             for a0, a1, b0, b1 in groups]), True)
-
-
-def cut_blanks(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Where a single blank has, in its own text, other characters on both sides.
+        """Pieces that start with a blank, which B adds itself, or with a line feed.
+
+        Pieces used lately are remembered, in two generations: what is not used
+        while one fills up is forgotten with it.
+        """
+        found: dict[bytes, Piece] = {}
+        together, alone = [], []
+        for key in keys:
+            piece = self.recent.get(key) or self.older.get(key)
+            if piece:
+                found[key] = self.recent[key] = piece
+            else:
+                (together if _JOINS.fullmatch(key) else alone).append(key)
+        for at in range(0, len(together), RUN):
+            run = together[at:at + RUN]
+            pieces = self._run(run)
+            if pieces is None:
+                alone += run
+            else:
+                found.update(zip(run, pieces, strict=True))
+        for key in alone:
+            found[key] = self._alone(key)
+        self.recent.update((k, found[k]) for k in together)
+        if len(self.recent) > PIECE_CACHE // 2:
+            self.recent, self.older = {}, self.recent
+        return [found[k] for k in keys]
+
+    def _ids(self, text: str) -> tuple[list[int], list[int]]:
+        a = self.a.encode(text, add_special_tokens=False).ids
+        if text[0] == " ":
+            return a, self.b.encode(text[1:], num_threads=1)
+        # The blank that B puts before a line feed is a token of its own.
+        return a, self.b.encode(text, num_threads=1)[1:]
+
+    def _alone(self, key: bytes) -> Piece:
+        made = self._pieces([key], *self._ids(key.decode("utf-8", "replace")))
+        return made[0] if made else Piece(0, 0, 0, b"", "", False)
+
+    def _run(self, keys: list[bytes]) -> list[Piece] | None:
+        try:
+            return self._pieces(keys, *self._ids(b"".join(keys).decode()))
+        except UnicodeDecodeError:
+            return None
+
+    def _pieces(self, keys: list[bytes], a: list[int], b: list[int]) -> list[Piece] | None:
+        """Pieces that follow each other in one text; None if its tokens are not those of theirs."""
+        whole = b"".join(keys)
+        if (b"".join([self.a_bytes[i] for i in a]) != whole
+                or b"".join([self.b_bytes[i] for i in b]) != whole):
+            return None
+        a, b = np.array(a), np.array(b)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        in_a, in_b = shared_ends(a_ends, b_ends)
+        bounds = np.cumsum([len(k) for k in keys])
+        last = np.searchsorted(a_ends[in_a], bounds)  # each piece's last group
+        if (a_ends[in_a[last]] != bounds).any():
+            return None
+        x, y = overlaps(a_ends, b_ends)
+        links = (a[x] << 32 | b[y]).tobytes()
+        link_ends = np.searchsorted(np.union1d(a_ends, b_ends), bounds, "right") * 8
+        # Names in the order of groups, A's before B's, each with what follows it.
+        ends_a, ends_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        ends_a[in_a], ends_b[in_b] = True, True
+        codes = np.concatenate([a * 2 + ends_a, 2 * len(self.a_sizes) + b * 2 + ends_b])
+        group = np.concatenate([2 * np.searchsorted(in_a, np.arange(len(a))),
+                                2 * np.searchsorted(in_b, np.arange(len(b))) + 1])
+        order = codes[np.argsort(group, kind="stable")].tolist()
+        names = list(map(self.names.__getitem__, order))
+        to_a, to_b = in_a[last] + 1, in_b[last] + 1
+        rows = zip(np.diff(to_a, prepend=0).tolist(), np.diff(to_b, prepend=0).tolist(),
+                   np.diff(last, prepend=-1).tolist(), link_ends.tolist(),
+                   (to_a + to_b).tolist(), strict=True)
+        out, at, link = [], 0, 0
+        for n_a, n_b, n_groups, link_end, end in rows:
+            out.append(Piece(n_a, n_b, n_groups, links[link:link_end],
+                             "".join(names[at:end]), True))
+            at, link = end, link_end
+        return out
+
+
+def cut_before(data: np.ndarray) -> np.ndarray:
+    """Where a single blank or line feed has other characters on both sides.
 
     Characters that may be Unicode white space (lead bytes C2, E1, E2, E3) are not
     told apart and count as such, which only leaves a piece longer.
@@ -157,23 +228,27 @@ def cut_blanks(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     lead = (data >= 0xC3) & ((data < 0xE1) | (data > 0xE3))
     ends = ascii_.copy()
     ends[1:] |= (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
-    cut[1:-1] = (data[1:-1] == 0x20) & ends[:-2] & (ascii_ | lead)[2:]
-    inner = offsets[(offsets > 0) & (offsets < n)]
-    cut[inner] = False  # first byte of a text
-    cut[inner - 1] = False  # last byte of a text
+    here = (data == 0x20) | (data == 0x0A)
+    cut[1:-1] = here[1:-1] & ends[:-2] & (ascii_ | lead)[2:]
     return cut
 
 
 def pieces_of(offsets: np.ndarray, data: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """All pieces of consecutive texts, and where each text's begin; an empty text has none."""
-    cut = cut_blanks(offsets, data)
-    places = np.flatnonzero(cut)
-    starts = np.unique(np.concatenate([offsets[:-1][np.diff(offsets) > 0], places + 1]))
-    kept = data[~cut]
-    gone = np.searchsorted(places, starts)
-    at = np.append(starts - gone, len(kept)).astype(np.int64)
+    """Pieces of consecutive texts with a blank before each, and where each text's begin.
+
+    A text begins with its blank, so that nothing is cut across two texts. An empty
+    one has no pieces.
+    """
+    filled = np.diff(offsets) > 0
+    data = np.insert(data, offsets[:-1][filled], 0x20)
+    offsets = offsets + np.append(0, np.cumsum(filled))
+    begins = offsets[:-1][filled]
+    cut = cut_before(data)
+    cut[begins] = True
+    starts = np.flatnonzero(cut)
+    ends = np.append(starts, len(data)).astype(np.int64)
     pieces = pa.Array.from_buffers(pa.large_binary(), len(starts),
-                                   [None, pa.py_buffer(at), pa.py_buffer(kept)])
+                                   [None, pa.py_buffer(ends), pa.py_buffer(data)])
     return pieces, np.searchsorted(starts, offsets)
 
 
@@ -217,11 +292,11 @@ def _block(number: int, ids: pa.Array, offsets: np.ndarray, data: np.ndarray,
     names = [p.text for p in pieces]
     order, at, digests = codes.tolist(), 0, []
     for n in counts.tolist():
-        own = ";".join(map(names.__getitem__, order[at:at + n]))
+        own = "".join(map(names.__getitem__, order[at:at + n]))[:-1]
         digests.append(hashlib.sha256(own.encode()).hexdigest() if n else "")
         at += n
-    sizes = np.array([len(p.links) for p in pieces], dtype=np.int64)
-    flat = np.concatenate([np.zeros(0, np.int64), *(p.links for p in pieces)])
+    sizes = np.array([len(p.links) for p in pieces], dtype=np.int64) // 8
+    flat = np.frombuffer(b"".join([p.links for p in pieces]), np.int64)
     pairs, local = np.unique(flat, return_inverse=True)
     # A document holds a pair once, however often a piece or a link occurs in it.
     once = np.unique(doc * max(len(pieces), 1) + codes)
@@ -295,7 +370,7 @@ def _group_batches(batches: Iterator[pa.RecordBatch], files) -> Iterator[pa.Reco
             for k in range(hi - lo):
                 own, groups, at = pieces[first[k]:first[k + 1]], [], 0
                 for p in own if all(p.whole for p in own) else []:
-                    for group in p.text.split(";"):
+                    for group in p.text[:-1].split(";"):
                         x, y = ([int(i) for i in side.split(",")] for side in group.split("|"))
                         end = at + sum(len(coder.a_bytes[i]) for i in x)
                         groups.append({"start": at, "end": end, "a": x, "b": y})

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from croptide.llm import alignment
@@ -153,11 +154,15 @@ def test_division_finds_all_shared_ends():
     rng = random.Random(3)
     for _ in range(500):
         n = rng.randrange(1, 60)
-        a, b = (sorted({*rng.sample(range(1, n), rng.randrange(n)), n}) for _ in range(2))
-        groups = alignment.shared_groups(a, b)
-        assert [a[g[1] - 1] for g in groups] == sorted(set(a) & set(b))
-        assert [b[g[3] - 1] for g in groups] == sorted(set(a) & set(b))
-        assert len(alignment.overlaps(a, b)) == len(a) + len(b) - len(groups)
+        a, b = (np.array(sorted({*rng.sample(range(1, n), rng.randrange(n)), n}))
+                for _ in range(2))
+        in_a, in_b = alignment.shared_ends(a, b)
+        assert a[in_a].tolist() == b[in_b].tolist() == sorted(set(a) & set(b))
+        x, y = alignment.overlaps(a, b)
+        starts = [np.append(0, e)[:-1] for e in (a, b)]
+        assert list(zip(x.tolist(), y.tolist(), strict=True)) == [
+            (i, j) for i in range(len(a)) for j in range(len(b))
+            if max(starts[0][i], starts[1][j]) < min(a[i], b[j])]
 
 
 def test_empty_and_clashing_columns(spark):
