@@ -18,6 +18,7 @@ from catalog.fixtures import (
 )
 from croptide.operators import align, normalize
 from croptide.operators.profile import GridAxes, grid_axes
+from croptide.plans.indices import assemble_inputs
 
 
 def q_align_time(spark, sf):
@@ -98,6 +99,15 @@ def q_assemble(spark, sf):
                       *(rounded(c, 4).alias(c) for c in ("tmax", "soil", "price")))
 
 
+def q_assemble_points(spark, sf):
+    """More coordinates than may pass the driver: the axes are numbered as tables."""
+    g = dense_grid(spark, sf)
+    out = assemble_inputs(spark, {"tmax": as_input(g, "tmax", "mx2t"),
+                                  "soil": as_input(g, "soil", "swvl1")}, max_axis=3)
+    return out.select("date", "lat_i", "lon_i", "lat", "lon",
+                      *(rounded(c, 4).alias(c) for c in ("tmax", "soil")))
+
+
 def q_wrap(spark, sf):
     g = as_input(sparse_grid(spark, sf), "soil", "soil")
     out = normalize.wrap_longitude(g.withColumn("longitude", F.col("longitude") * 72))
@@ -146,6 +156,10 @@ WITH {GRID}, {ORDER_GRID}
 SELECT date, lat_i, lon_i, grid.lat, grid.lon, {r('tmax', 4)} AS tmax, {r('soil', 4)} AS soil,
        {r('price', 4)} AS price
 FROM grid JOIN ogrid USING (date, lat_i, lon_i)"""),
+    "assemble_points": (q_assemble_points, f"""
+WITH {DENSE}
+SELECT date, lat_i, lon_i, lat, lon, {r('tmax', 4)} AS tmax, {r('soil', 4)} AS soil
+FROM dense"""),
     "wrap_longitude": (q_wrap, f"""
 WITH {GRID}
 SELECT date AS valid_time, lat AS latitude,

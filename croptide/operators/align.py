@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.constants import CELL, CUBE_COORDS
+from croptide.operators.axes import AxisTables, place_cells
 from croptide.operators.profile import GridAxes, grid_axes, tolerance
 from croptide.session import local_table, pin_small
 
@@ -26,12 +27,14 @@ def _axis_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return local_table(spark, rows, schema)
 
 
-def index_cells(df: DataFrame, axes: GridAxes, lat: str = "latitude",
+def index_cells(df: DataFrame, axes: GridAxes | AxisTables, lat: str = "latitude",
                 lon: str = "longitude") -> DataFrame:
     """Add integer axis positions ``lat_i``/``lon_i`` and call the axes lat, lon.
 
     Later joins use the integers, never floating-point coordinates.
     """
+    if isinstance(axes, AxisTables):
+        return place_cells(df, axes, lat, lon)
     rest = [c for c in df.columns if c not in (lat, lon)]
     df = _with_position(df, lat, axes.lats, "lat_i")
     df = _with_position(df, lon, axes.lons, "lon_i")
@@ -80,7 +83,7 @@ def cells_of(spark: SparkSession, axes: GridAxes) -> DataFrame:
     return with_coordinates(cells, axes).select("lat_i", "lon_i", "lat", "lon")
 
 
-def to_cube(df: DataFrame, key: str, axes: GridAxes | None = None,
+def to_cube(df: DataFrame, key: str, axes: GridAxes | AxisTables | None = None,
             time: str = "valid_time") -> DataFrame:
     """A normalised grid (one data column ``key``) as a cube."""
     axes = axes or grid_axes(df)

@@ -48,26 +48,35 @@ def tolerance(axis: Sequence[float]) -> float:
     return 1e-3 * min(steps) if steps else 1e-5
 
 
+class AxisTooLarge(ValueError):
+    """An axis has more values than may pass through the driver."""
+
+
 @dataclass(frozen=True)
 class GridProfile:
-    """Axes, row count and rows without a time or a place of one input."""
+    """Axes, row count and rows without a time or a place of one input.
+
+    ``axes`` is None where only their lengths, ``shape``, are known.
+    """
 
-    axes: GridAxes
+    axes: GridAxes | None
     days: tuple[date, ...]
     rows: int
     missing_times: int
     missing_places: int = 0
+    shape: tuple[int, int] | None = None
 
+    @property
+    def size(self) -> tuple[int, int]:
+        """Numbers of latitudes and longitudes."""
+        return self.shape or (len(self.axes.lats), len(self.axes.lons))
 
-def profile_grids(grids: Mapping[str, DataFrame],
-                  columns: Mapping[str, tuple[str | None, str | None, str | None]],
-                  max_axis: int | None = None) -> dict[str, GridProfile]:
-    """Profiles of all inputs; ``columns`` names their (time, lat, lon).
 
-    Rows are counted by each axis in one pass per input (grouping sets) with
-    map-side combining, so the shuffles carry axis values only; all inputs run as
-    one job. Axes pass through the driver, so more than ``max_axis`` (default:
-    ``MAX_AXIS``) values on one are refused; a finer grid needs a larger bound.
+def _axis_counts(grids: Mapping[str, DataFrame],
+                 columns: Mapping[str, tuple[str | None, str | None, str | None]]) -> DataFrame:
+    """``(input, axis, v, n)``: rows by every value of every axis.
+
+    One pass per input (grouping sets) with map-side combining.
     """
     def axes_of(name: str, df: DataFrame) -> DataFrame:
         time, lat, lon = columns[name]
@@ -89,8 +98,48 @@ def profile_grids(grids: Mapping[str, DataFrame],
         return counted.select(F.lit(name).alias("input"), axis.alias("axis"),
                               v.alias("v"), "n")
 
-    counts = reduce(DataFrame.unionByName, (axes_of(n, g) for n, g in grids.items()))
-    max_axis = max_axis or MAX_AXIS
+    return reduce(DataFrame.unionByName, (axes_of(n, g) for n, g in grids.items()))
+
+
+def _days(values) -> tuple[date, ...]:
+    return tuple(EPOCH + timedelta(days=int(d)) for d in sorted(values))
+
+
+def profile_points(grids: Mapping[str, DataFrame],
+                   columns: Mapping[str, tuple[str | None, str | None, str | None]],
+                   max_axis: int | None = None) -> dict[str, GridProfile]:
+    """Profiles without the places: only the days and the lengths of the axes are fetched."""
+    counts, max_axis = _axis_counts(grids, columns), max_axis or MAX_AXIS
+    facts = {(r["input"], r["axis"]): r for r in counts.groupBy("input", "axis").agg(
+        F.count("v").alias("values"), F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+    ).collect()}
+    bound = max(max_axis, MAX_AXIS) * len(grids)
+    found = counts.where("axis = 't' AND v IS NOT NULL").select("input", "v").limit(
+        bound + 1).collect()
+    if len(found) > bound:
+        raise AxisTooLarge(f"the inputs have more than {bound} days")
+
+    def fact(name: str, axis: str, what: str) -> int:
+        return facts[name, axis][what] if (name, axis) in facts else 0
+
+    return {n: GridProfile(
+        None, _days(r["v"] for r in found if r["input"] == n),
+        max(fact(n, a, "rows") for a in "tyx"), fact(n, "t", "missing"),
+        max(fact(n, a, "missing") for a in "yx"), (fact(n, "y", "values"), fact(n, "x", "values")))
+        for n in grids}
+
+
+def profile_grids(grids: Mapping[str, DataFrame],
+                  columns: Mapping[str, tuple[str | None, str | None, str | None]],
+                  max_axis: int | None = None) -> dict[str, GridProfile]:
+    """Profiles of all inputs; ``columns`` names their (time, lat, lon).
+
+    The shuffles carry axis values only; all inputs run as one job. Axes pass
+    through the driver, so more than ``max_axis`` (default: ``MAX_AXIS``) values on
+    one raise ``AxisTooLarge``; ``profile_points`` does without them.
+    """
+    counts, max_axis = _axis_counts(grids, columns), max_axis or MAX_AXIS
     bound = 3 * (max_axis + 1) * len(grids)
     found = counts.limit(bound + 1).toArrow().to_pylist()
     values: dict[tuple[str, str], list[float]] = {}
@@ -107,18 +156,19 @@ def profile_grids(grids: Mapping[str, DataFrame],
         if r["v"] is not None:
             values.setdefault((r["input"], r["axis"]), []).append(r["v"])
     if len(found) > bound or any(len(v) > max_axis for v in values.values()):
-        raise ValueError(f"an input has more than {max_axis} values on one axis: not a grid")
+        raise AxisTooLarge(f"an input has more than {max_axis} values on one axis: not a grid")
 
     def axis(name: str, a: str) -> tuple[float, ...]:
         return tuple(sorted(values.get((name, a), ())))
 
     return {n: GridProfile(
         GridAxes(axis(n, "y"), axis(n, "x")),
-        tuple(EPOCH + timedelta(days=int(d)) for d in axis(n, "t")), rows[n], missing[n],
+        _days(axis(n, "t")), rows[n], missing[n],
         nowhere[n])
         for n in grids}
 
 
-def grid_axes(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> GridAxes:
+def grid_axes(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
+              max_axis: int | None = None) -> GridAxes:
     """The spatial axes of one grid."""
-    return profile_grids({"grid": df}, {"grid": (None, lat, lon)})["grid"].axes
+    return profile_grids({"grid": df}, {"grid": (None, lat, lon)}, max_axis)["grid"].axes

@@ -67,7 +67,7 @@ def diagnose(spark: SparkSession, inputs: Mapping[str, DataFrame | None],
         if lat is None or lon is None:
             report.append((name, "grid", "warning", "no latitude/longitude columns"))
             continue
-        grid = (len(seen.axes.lats), len(seen.axes.lons), lat, lon)
+        grid = (*seen.size, lat, lon)
         reference = reference or grid
         report.append((name, "grid", "info" if grid == reference else "warning",
                        f"{grid[0]} x {grid[1]} ({lat}, {lon})"))

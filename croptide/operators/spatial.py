@@ -14,11 +14,13 @@ from croptide.constants import (
     CELL,
     INDEX_NAMES,
 )
-from croptide.session import pin_small, stage_path
+from croptide.session import pin_small, pin_within, stage_path
 
 MAX_REGIONS = 10_000
 # A mask of up to this many runs (16 bytes each) is pinned; a larger one is joined.
 MASK_PIN_ROWS = 1_000_000
+# Longitude positions per tile of a mask that is joined.
+TILE = 64
 
 
 def grid_cells(df: DataFrame) -> DataFrame:
@@ -116,6 +118,27 @@ def mask_runs(mask: DataFrame) -> DataFrame:
             .agg(F.min("lon_i").alias("first"), F.max("lon_i").alias("last")).drop("_run"))
 
 
+def _in_regions(cells: DataFrame, runs: DataFrame) -> DataFrame:
+    """The rows of ``cells`` with each region that a run of theirs lies in.
+
+    Runs that are too many to be pinned are cut at multiples of ``TILE``, so that
+    the join has as many keys as rows of the grid times tiles, not rows alone.
+    """
+    pinned = pin_within(runs, MASK_PIN_ROWS)
+    if pinned is None:
+        first, last = (F.floor(F.col(c) / TILE) for c in ("first", "last"))
+        start = F.col("tile") * TILE
+        runs = runs.withColumn("tile", F.explode(F.sequence(first, last))).select(
+            "lat_i", "tile", "region", F.greatest("first", start).alias("first"),
+            F.least("last", start + TILE - 1).alias("last")).hint("merge")
+    c, m = cells.alias("c"), (runs if pinned is None else pinned).alias("m")
+    inside = (F.col("c.lat_i") == F.col("m.lat_i")) & F.col("c.lon_i").between(
+        F.col("m.first"), F.col("m.last"))
+    if pinned is None:
+        inside &= F.floor(F.col("c.lon_i") / TILE) == F.col("m.tile")
+    return c.join(m, inside).select("c.*", "m.region")
+
+
 def regional_aggregate(df: DataFrame, mask: DataFrame, method: str = "mean",
                        variables: Iterable[str] = INDEX_NAMES,
                        date: str = "date") -> DataFrame:
@@ -123,16 +146,13 @@ def regional_aggregate(df: DataFrame, mask: DataFrame, method: str = "mean",
 
     The mask becomes runs of neighbouring cells, far fewer than cells, which are
     pinned when a count shows them to be few enough; so a finer grid does not
-    shuffle the cube. The groups combine map-side, so a region that holds most
+    shuffle the cube; beyond that both are dealt by row and tile of longitudes. The
+    groups combine map-side, so a region that holds most
     cells shuffles one row per day and task. That holds for the exact median too,
     which counts equal values first.
     """
     names = [v for v in variables if v in df.columns]
-    c, m = df.select(date, *CELL, *names).alias("c"), pin_small(
-        mask_runs(mask), MASK_PIN_ROWS).alias("m")
-    inside = c.join(m, (F.col("c.lat_i") == F.col("m.lat_i"))
-                    & F.col("c.lon_i").between(F.col("m.first"), F.col("m.last"))).select(
-        "c.*", "m.region")
+    inside = _in_regions(df.select(date, *CELL, *names), mask_runs(mask))
     if method == "median":
         return _regional_median(inside, names, date)
     reduce_ = _reducer(method, CELL)

@@ -75,20 +75,28 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def pin_small(df: DataFrame, max_rows: int = PIN_ROW_LIMIT) -> DataFrame:
-    """Evaluate a small dimension once and hand it back ready to broadcast.
+def pin_within(df: DataFrame, max_rows: int = PIN_ROW_LIMIT) -> DataFrame | None:
+    """A small table evaluated once and ready to broadcast; None if it is larger.
 
     At most ``max_rows + 1`` rows are fetched to learn the size. Within the
     bound the rows become a local relation, so the plan that produced them does
-    not run again in every join; beyond it the frame is kept lazy and marked for
-    a sort-merge join, so that no size estimate can broadcast it after all.
+    not run again in every join.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return df.hint("merge")
+        return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def pin_small(df: DataFrame, max_rows: int = PIN_ROW_LIMIT) -> DataFrame:
+    """``pin_within``, or the frame itself, lazy and marked for a sort-merge join.
+
+    So no size estimate can broadcast a larger one after all.
+    """
+    pinned = pin_within(df, max_rows)
+    return df.hint("merge") if pinned is None else pinned
+
+
 def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small driver-made table as a local relation, ready to broadcast."""
     fields = T.StructType.fromDDL(schema)

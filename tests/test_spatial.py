@@ -180,3 +180,25 @@ def test_grid_cells(spark):
     df = cells_of(spark, GridAxes((0.0, 1.0), (0.0,)))
     twice = df.unionByName(df).withColumn("date", F.lit(day(0)))
     assert spatial.grid_cells(twice).count() == 2
+
+
+@pytest.mark.parametrize("method", ["mean", "median", "sum"])
+def test_mask_that_is_joined_in_tiles(spark, monkeypatch, method):
+    """Runs longer than tiles and many regions in a row; also left of the first tile."""
+    rng = random.Random(8)
+    monkeypatch.setattr(spatial, "TILE", 4)
+    cells = [(y, x) for y in range(-1, 3) for x in range(-9, 30)]
+    df = spark.createDataFrame([(day(d), y, x, float(rng.randrange(50))) for d in range(2)
+                                for y, x in cells],
+                               "date date, lat_i int, lon_i int, GDD double")
+    mask = spark.createDataFrame(
+        [(y, x, rng.choice([1, 1, 2, 3])) for y, x in cells if x % 11], "lat_i int, lon_i int, region int")
+    pinned = spatial.regional_aggregate(df, mask, method, ["GDD"])
+    want = sorted(map(tuple, pinned.collect()))
+    monkeypatch.setattr(spatial, "MASK_PIN_ROWS", 0)
+    tiled = spatial.regional_aggregate(df, mask, method, ["GDD"])
+    assert sorted(map(tuple, tiled.collect())) == want
+    plan = tiled._jdf.queryExecution().toString()
+    assert "SortMergeJoin [lat_i#" in plan
+    keys = plan.split("SortMergeJoin [")[1].split("]")[0]
+    assert "/ 4" in keys, keys
