@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -258,9 +259,24 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers from 0 in the least width that holds them, compressed."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    raw = values.astype(kind).tobytes()
+    return struct.pack(_HEAD, kind.itemsize, len(raw)) + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    width, size = struct.unpack_from(_HEAD, data)
+    raw = pa.Codec("zstd").decompress(data[struct.calcsize(_HEAD):], decompressed_size=size,
+                                      asbytes=True)
+    return np.frombuffer(raw, np.dtype(f"u{width}")).astype(np.int64)
+
+
+_HEAD = "<bq"  # bytes of one number and of all
 _BLOCK = ("block long, docs array<struct<doc_id: long, n_a: long, n_b: long, n_groups: long, "
           "n_links: long, groups_sha256: string, n_pieces: long>>, pieces binary, "
-          "piece_links binary, piece_ends binary, pairs array<long>, held array<long>")
+          "piece_links binary, piece_sizes binary, pairs array<long>, held array<long>")
 _DOC = pa.struct([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
                   ("n_groups", pa.int64()), ("n_links", pa.int64()),
                   ("groups_sha256", pa.string()), ("n_pieces", pa.int64())])
@@ -308,13 +324,10 @@ def _block(number: int, ids: pa.Array, offsets: np.ndarray, data: np.ndarray,
         [ids, per_doc([p.n_a for p in pieces]), per_doc([p.n_b for p in pieces]),
          per_doc([p.n_groups for p in pieces]), per_doc(sizes.tolist()), pa.array(digests),
          pa.array(counts)], fields=list(_DOC))
-    kind = np.uint16 if len(pieces) <= 1 << 16 else np.uint32
     return pa.RecordBatch.from_arrays(
-        [pa.array([number]), _listed(docs), pa.array([codes.astype(kind).tobytes()]),
-         pa.array([local.astype(np.int32).tobytes()]),
-         pa.array([np.cumsum(sizes).astype(np.int32).tobytes()]), _listed(pa.array(pairs)),
-         _listed(pa.array(per_pair))],
-        ["block", "docs", "pieces", "piece_links", "piece_ends", "pairs", "held"])
+        [pa.array([number]), _listed(docs), pa.array([_pack(codes)]), pa.array([_pack(local)]),
+         pa.array([_pack(sizes)]), _listed(pa.array(pairs)), _listed(pa.array(per_pair))],
+        ["block", "docs", "pieces", "piece_links", "piece_sizes", "pairs", "held"])
 
 
 def _block_batches(batches: Iterator[pa.RecordBatch], files) -> Iterator[pa.RecordBatch]:
@@ -340,10 +353,9 @@ def _sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = answers.field("at").to_numpy()
                 counts[at] = answers.field("count").to_numpy()
                 best[at] = answers.field("best").to_numpy(zero_copy_only=False)
-            links = np.frombuffer(batch.column("piece_links")[k].as_py(), np.int32)
-            ends = np.frombuffer(batch.column("piece_ends")[k].as_py(), np.int32)
-            raw = batch.column("pieces")[k].as_py()
-            codes = np.frombuffer(raw, np.uint16 if len(ends) <= 1 << 16 else np.uint32)
+            codes, links, sizes = (_unpack(batch.column(c)[k].as_py())
+                                   for c in ("pieces", "piece_links", "piece_sizes"))
+            ends = np.cumsum(sizes)
             n = docs.field("n_pieces").to_numpy()
             out = []
             for values in (best, counts):
