@@ -25,6 +25,7 @@ from catalog.fixtures import (
 from catalog.space import DENSE_MASK
 from croptide.constants import INPUT_FOLDERS, VARIABLE_ALIASES
 from croptide.operators.indices import compute_indices
+from croptide.operators.quality import verify_store
 from croptide.plans.indices import compute_index_store
 from croptide.plans.observations import load_observations
 from croptide.plans.regional import process_regions_daily, regional_features
@@ -119,6 +120,28 @@ def _regional_cols():
     return ", ".join(cols)
 
 
+def q_replace_store(spark, sf):
+    """A store that is replaced from itself; a replacement that fails changes nothing."""
+    path = stage_path(spark, "store")
+    g = sparse_grid(spark, sf)
+    write_index_store(compute_indices(g), path)
+    old = spark.read.parquet(path).filter("GDD > 5")
+    write_index_store(old, path)
+    failing = compute_indices(g).withColumn("GDD", F.when(
+        F.col("date") == "1996-05-05", F.raise_error(F.lit("a day that cannot be read"))
+    ).otherwise(F.col("GDD")))
+    try:
+        write_index_store(failing, path)
+    except Exception:  # the old store is what is left
+        return index_rows(read_index_store(spark, path), *KEYS, digits=3)
+    raise AssertionError("the failing write succeeded")
+
+
+def q_verify_shape(spark, sf):
+    out = verify_store(compute_indices(sparse_grid(spark, sf)), shape=True)
+    return out.select("variable", "present", "n", "days", "lats", "lons", "n_absent")
+
+
 def q_write_features(spark, sf):
     wide = sparse_grid(spark, sf).groupBy("date").agg(
         F.max("soil").alias("soil_max"), F.min("precip").alias("precip_min"))
@@ -243,6 +266,22 @@ SELECT date AS valid_time, lat AS latitude, lon AS longitude, soil AS swvl1,
     "write_index_store": (q_write_index_store, f"""
 WITH {GRID}{index_sql('grid')}
 SELECT {K}, {float_rows_sql()}, year(date) AS year FROM idx"""),
+    "replace_store": (q_replace_store, f"""
+WITH {GRID}{index_sql('grid')}
+SELECT {K}, {float_rows_sql()} FROM idx WHERE CAST("GDD" AS FLOAT) > 5"""),
+    "verify_shape": (q_verify_shape, f"""
+WITH {GRID}{index_sql('grid')}, long AS (
+  UNPIVOT (SELECT {K}, CAST("GDD" AS DOUBLE) AS "GDD", CAST("SPI" AS DOUBLE) AS "SPI",
+                  CAST("SoilMoistureAnomaly" AS DOUBLE) AS "SoilMoistureAnomaly",
+                  CAST("EvapotranspirationRatio" AS DOUBLE) AS "EvapotranspirationRatio",
+                  CAST("HeatwaveIndex" AS DOUBLE) AS "HeatwaveIndex",
+                  CAST("WindSpeed" AS DOUBLE) AS "WindSpeed" FROM idx)
+  ON COLUMNS(* EXCLUDE (date, lat_i, lon_i)) INTO NAME variable VALUE v),
+counted AS (SELECT variable, count(*) AS n FROM long GROUP BY variable)
+SELECT variable, true AS present, n, days, lats, lons, days * lats * lons - cells AS n_absent
+FROM counted CROSS JOIN (
+  SELECT count(DISTINCT date) AS days, count(DISTINCT lat_i) AS lats,
+         count(DISTINCT lon_i) AS lons, count(*) AS cells FROM idx)"""),
     "index_run": (q_index_run, f"""
 WITH {DENSE}{COARSE_SOIL}{index_sql('mixed')}
 SELECT {K}, {float_rows_sql()} FROM idx"""),

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import prod
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croptide.constants import CUBE_COORDS, INDEX_NAMES
 from croptide.operators.normalize import find_coords, find_time
-from croptide.operators.profile import GridProfile, profile_grids
+from croptide.operators.profile import GridProfile, profile_grids, profile_points
 from croptide.session import local_table
 
 REPORT = "dataset string, check string, severity string, detail string"
@@ -82,11 +83,21 @@ def has_critical(report: DataFrame) -> bool:
     return not report.filter("severity = 'critical'").isEmpty()
 
 
-def verify_store(df: DataFrame, expected: Sequence[str] = INDEX_NAMES) -> DataFrame:
+def store_shape(df: DataFrame, date: str = "date", lat: str = "lat_i", lon: str = "lon_i"
+                ) -> tuple[int, int, int]:
+    """Numbers of days, latitudes and longitudes of a store, by counted axes."""
+    found = profile_points({"store": df}, {"store": (date, lat, lon)})["store"]
+    return len(found.days), *found.size
+
+
+def verify_store(df: DataFrame, expected: Sequence[str] = INDEX_NAMES,
+                 shape: bool = False) -> DataFrame:
     """One row per expected or present variable: type, counts, range, a sample.
 
     All variables are reduced in one pass; the sample is the value of the first
-    cell on the first day.
+    cell on the first day. ``shape`` adds days, latitudes and longitudes of the
+    store (null for a variable that is not there) and how many of their products
+    have no row at all, at the price of a pass over the coordinates.
     """
     coords = {*CUBE_COORDS, "year"}
     present = [c for c in df.columns if c not in coords]
@@ -109,4 +120,12 @@ def verify_store(df: DataFrame, expected: Sequence[str] = INDEX_NAMES) -> DataFr
             F.min_by(x, at).cast(number).alias("sample"))
 
     names = list(dict.fromkeys([*expected, *present]))
-    return df.agg(F.array(*(facts(c) for c in names)).alias("v")).select(F.inline("v"))
+    report = df.agg(F.array(*(facts(c) for c in names)).alias("v")).select(F.inline("v"))
+    if not shape:
+        return report
+    sides = store_shape(df)
+    here = F.col("present")
+    return report.select(
+        "*", *(F.when(here, F.lit(n).cast("long")).alias(c)
+               for c, n in zip(("days", "lats", "lons"), sides, strict=True)),
+        F.when(here, F.lit(prod(sides)) - F.col("n") - F.col("n_null")).alias("n_absent"))

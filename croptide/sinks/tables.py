@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Collection, Sequence
+import uuid
+from collections.abc import Callable, Collection, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -21,10 +22,57 @@ MAX_LITERAL_KEYS = 5_000
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
+def replace_table(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Have ``write`` make a table aside and put it in the place of ``path``.
+
+    Until the new table is complete the old one stays and can be read, also by
+    ``write`` itself; if writing fails, nothing has changed. The swap is two
+    renames. Where a run was ended between them, the next one first puts the old
+    table back. Both wait beside the table under names that readers skip.
+    """
+    fs, target = _place(spark, path)
+    parent, name = target.getParent(), target.getName()
+    made = spark._jvm.org.apache.hadoop.fs.Path
+
+    def beside(kind: str, what: str):
+        return made(parent, f"_{name}.{kind}-{what}")
+
+    if not fs.exists(target):
+        left = fs.globStatus(beside("old", "*")) or ()
+        if len(left) == 1:
+            log.warning("%s was being replaced; its old table is put back", path)
+            fs.rename(left[0].getPath(), target)
+    run = uuid.uuid4().hex[:12]
+    new, old = beside("new", run), beside("old", run)
+    try:
+        write(new.toString())
+        if not fs.exists(made(new, "_SUCCESS")):
+            raise OSError(f"the new table of {path} is not complete")
+        held = fs.exists(target)
+        if held and not fs.rename(target, old):
+            raise OSError(f"{path} could not be moved aside")
+        if not fs.rename(new, target):
+            if held:
+                fs.rename(old, target)
+            raise OSError(f"the new table of {path} could not be put in place")
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    if held:
+        fs.delete(old, True)
+    return path
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def write_index_store(df: DataFrame, path: str) -> str:
     """The index cube as Parquet by year: FLOAT indices, SMALLINT heatwave count.
 
-    An existing store is replaced. ``rebalance`` lets adaptive execution split
+    An existing store is replaced once the new one is complete, so that a run
+    that fails leaves it as it was. ``rebalance`` lets adaptive execution split
     large years and merge small ones into files of the advisory size, whatever
     the number of upstream tasks.
     """
@@ -34,10 +82,9 @@ def write_index_store(df: DataFrame, path: str) -> str:
         *(F.col(n).cast("smallint" if n == "HeatwaveIndex" else "float")
           .alias(n, metadata=INDEX_ATTRIBUTES[n]) for n in names),
         F.year("date").alias("year"))
-    (typed.hint("rebalance", "year").sortWithinPartitions("year", *CUBE_COORDS[1:3], "date")
-     .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("year").parquet(path))
-    return path
+    ordered = typed.hint("rebalance", "year").sortWithinPartitions(
+        "year", *CUBE_COORDS[1:3], "date")
+    return replace_table(df.sparkSession, path, ordered.write.partitionBy("year").parquet)
 
 
 def write_features(df: DataFrame, directory: str, base: str, parquet: bool = True,
@@ -85,9 +132,7 @@ def partition_files(spark: SparkSession, path: str, keys: Sequence[str]
     Keys are text as folder names have it (None for NULL). Only folders are
     listed, no file is opened.
     """
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{k}=*" for k in keys), "*"]))
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, pattern = _place(spark, "/".join([path, *(f"{k}=*" for k in keys), "*"]))
     found: dict[tuple[str | None, ...], set[str]] = {}
     for status in fs.globStatus(pattern) or ():
         file = status.getPath()

@@ -9,7 +9,9 @@ from croptide import session
 from croptide.operators import indices, quality
 from croptide.sinks import (
     clear_stages,
+    fingerprint,
     materialize_stage,
+    replace_table,
     write_features,
     write_index_store,
     write_missing_partitions,
@@ -116,6 +118,65 @@ def test_index_store_round_trip(spark, tmp_path):
         read_index_store(spark, str(tmp_path / "none"))
 
 
+def files_below(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file())
+
+
+def test_a_write_that_fails_leaves_the_old_store(spark, tmp_path):
+    path = tmp_path / "store"
+    good = one_cell(spark, "GDD", [1.0, 2.0, 3.0])
+    write_index_store(good, str(path))
+    before = files_below(path)
+    late = good.withColumn("GDD", F.when(F.col("GDD") > 2, F.raise_error(F.lit("half-way")))
+                           .otherwise(F.col("GDD"))).repartition(3, "GDD")
+    with pytest.raises(Exception, match="half-way"):
+        write_index_store(late, str(path))
+    assert files_below(path) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["store"]  # nothing is left beside it
+    # A table can be replaced by what is read from it.
+    write_index_store(spark.read.parquet(str(path)).where("GDD > 1"), str(path))
+    assert sorted(r["GDD"] for r in spark.read.parquet(str(path)).collect()) == [2.0, 3.0]
+    assert [p.name for p in tmp_path.iterdir()] == ["store"]
+
+
+def test_a_swap_that_was_cut_short_is_undone(spark, tmp_path):
+    path = tmp_path / "store"
+    write_index_store(one_cell(spark, "GDD", [1.0]), str(path))
+    path.rename(tmp_path / "_store.old-0123")
+
+    def fails(place):
+        raise RuntimeError("no disk")
+
+    with pytest.raises(RuntimeError):
+        replace_table(spark, str(path), fails)
+    assert spark.read.parquet(str(path)).count() == 1
+    with pytest.raises(OSError, match="not complete"):
+        replace_table(spark, str(path), lambda place: None)
+    assert spark.read.parquet(str(path)).count() == 1
+
+
+def test_fingerprints_follow_files_and_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.range(40).withColumn("k", F.col("id") % 4)
+    frame.write.partitionBy("k").parquet(path)
+    first = fingerprint(spark.read.parquet(path))
+    assert fingerprint(spark.read.parquet(path)) == first
+    assert fingerprint(spark.read.parquet(path).select("id")) != first
+    frame.where("k = 1").write.partitionBy("k").mode("append").parquet(path)
+    assert fingerprint(spark.read.parquet(path)) != first
+    assert fingerprint(spark.range(3)) != fingerprint(spark.range(4))
+
+
+def test_shape_counts_days_without_a_row(spark):
+    df = one_cell(spark, "GDD", [1.0, None, 5.0]).withColumn("lon_i", F.when(
+        F.col("GDD") == 5, 3).otherwise(0))
+    rows = {r["variable"]: r for r in quality.verify_store(df, ["GDD", "SPI"], True).collect()}
+    assert quality.store_shape(df) == (3, 1, 2)
+    g = rows["GDD"]
+    assert (g["n"], g["n_null"], g["days"], g["lats"], g["lons"], g["n_absent"]) == (2, 1, 3, 1, 2, 3)
+    assert rows["SPI"]["days"] is None and rows["SPI"]["n_absent"] is None
+
+
 def test_verify_store_reports_missing_and_extra(spark):
     df = one_cell(spark, "GDD", [1.0, None, 5.0]).withColumn("More", F.lit(2))
     rows = {r["variable"]: r for r in quality.verify_store(df).collect()}
