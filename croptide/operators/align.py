@@ -178,6 +178,23 @@ def snap_cells(df: DataFrame, source: GridAxes, target: GridAxes, value: str = "
     return with_coordinates(placed, target).select(*CUBE_COORDS, F.col(value))
 
 
+def _complete(placed: DataFrame, days: DataFrame, by: Sequence[tuple], bx: Sequence[tuple],
+               wanted: int) -> DataFrame | None:
+    """The rectangles that have a corner on every day, or None when all ``wanted`` have.
+
+    A source cell with as many rows as there are days is a corner on all of them.
+    Only cells and their counts are shuffled.
+    """
+    spark = placed.sparkSession
+    counted = (placed.join(days, "date", "left_semi").groupBy("_y", "_x")
+               .agg(F.count(F.lit(1)).alias("n")))
+    full = (counted.where(F.col("n") >= days.count())
+            .join(_corner_table(spark, by, "y"), "_y").join(_corner_table(spark, bx, "x"), "_x")
+            .select("py", "px").distinct())
+    full = pin_small(full)
+    return None if full.count() == wanted else full
+
+
 def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = None,
                     days: DataFrame | None = None, value: str = "value") -> DataFrame:
     """Bilinear interpolation of a cube onto another grid.
@@ -186,7 +203,9 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
     corner of; one shuffle collects the corners of each rectangle and day; each
     rectangle is then spread over the target cells inside it by two broadcast
     axis joins. The shuffle therefore grows with the *source* grid, which is
-    never larger than the target the engine picks.
+    never larger than the target the engine picks. Rectangles that have no corner
+    on some day are found from the cells' counts; only these are added, as empty
+    ones, so that a source without gaps shuffles nothing but its own rows.
 
     Targets outside the source range, or with a missing corner of non-zero
     weight, are NULL. A cell-day that occurs twice is an error. A grid that
@@ -210,17 +229,22 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
         .select("date", "py", "px", (F.col("end_y") * 2 + F.col("end_x")).alias("corner"),
                 F.col(value).alias("v"))
     )
-    # Every rectangle of every day, so that a gap in the source becomes NULL
-    # cells instead of absent ones.
-    frame = (
-        (df.select("date").distinct() if days is None else days)
-        .select("date", F.explode(F.sequence(F.lit(-1), F.lit(len(source.lats) - 1)))
-                .alias("py"))
-        .select("date", "py",
-                F.explode(F.sequence(F.lit(-1), F.lit(len(source.lons) - 1))).alias("px"))
-        .select("*", F.lit(None).cast("int").alias("corner"),
-                F.lit(None).cast("double").alias("v"))
-    )
+    days = df.select("date").distinct() if days is None else days
+    inner_y, inner_x = ([k for k in sorted({k for _, _, k, _ in b}) if k >= 0] for b in (by, bx))
+
+    def rectangles(ys: Sequence[int], xs: Sequence[int]) -> DataFrame:
+        """Some rectangles on every day."""
+        return (days.select("date", F.explode(F.lit(list(ys)).cast("array<int>")).alias("py"))
+                .select("date", "py", F.explode(F.lit(list(xs)).cast("array<int>")).alias("px")))
+
+    complete = _complete(placed, days, by, bx, len(inner_y) * len(inner_x))
+    if complete is not None:
+        # A gap in the source becomes NULL cells instead of absent ones.
+        corners = corners.unionByName(
+            rectangles(inner_y, inner_x).join(complete, ["py", "px"], "left_anti")
+            .select("date", "py", "px", F.lit(None).cast("int").alias("corner"),
+                    F.lit(None).cast("double").alias("v")))
+
     def corner(k: int):
         mine = F.col("corner") == k
         repeated = F.raise_error(F.concat(F.lit("duplicate grid rows on "),
@@ -228,8 +252,12 @@ def regrid_bilinear(df: DataFrame, target: GridAxes, source: GridAxes | None = N
         return F.when(F.count_if(mine) > 1, repeated).otherwise(
             F.max(F.when(mine, F.col("v")))).alias(f"v{k}")
 
-    patches = corners.unionByName(frame).groupBy("date", "py", "px").agg(
-        *(corner(k) for k in range(4)))
+    patches = corners.groupBy("date", "py", "px").agg(*(corner(k) for k in range(4)))
+    # What lies outside the source has no corner to wait for.
+    for ys, xs in (([-1], [-1, *inner_x]), (inner_y, [-1])):
+        if any(k in ys for _, _, k, _ in by) and any(k in xs for _, _, k, _ in bx):
+            patches = patches.unionByName(rectangles(ys, xs).select(
+                "*", *(F.lit(None).cast("double").alias(f"v{k}") for k in range(4))))
 
     wy, wx = F.col("wy"), F.col("wx")
     weights = [(1 - wy) * (1 - wx), (1 - wy) * wx, wy * (1 - wx), wy * wx]

@@ -138,6 +138,33 @@ def test_regrid_random_fields_match_brute_force(spark):
         assert v is None or v == pytest.approx(want)
 
 
+def test_only_gaps_and_outsides_are_added(spark):
+    """A source with all its days shuffles its own rows; gaps and outsides still come as NULL."""
+    rows = [(d, y, x, float(d + y + x)) for d in range(3) for y in range(3) for x in range(3)]
+    inner, wide = (0.5, 1.0, 1.5), (-1.0, 0.5, 1.5, 2.5)
+
+    def shuffled(source, target):
+        out = align.regrid_bilinear(cube(spark, source), target)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return out, plan.count("Generate explode")
+
+    dense, added = shuffled(rows, GridAxes(inner, inner))
+    assert added == 0 and dense.count() == 27
+    assert dense.where("value IS NULL").isEmpty()
+    # A corner is gone on one day only: its rectangle still has others.
+    partly, added = shuffled([r for r in rows if r[:3] != (1, 0, 0)], GridAxes(inner, inner))
+    assert added == 0 and partly.count() == 27
+    # All corners of a rectangle are gone on one day.
+    holes, added = shuffled([r for r in rows if r[0] != 1 or r[2] == 0], GridAxes(inner, inner))
+    assert added > 0 and holes.count() == 27
+    assert {(r["date"], r["lon"]) for r in holes.where("value IS NULL").collect()} == {
+        (day(1), x) for x in inner}
+    outside, added = shuffled(rows, GridAxes(wide, wide))
+    assert outside.count() == 3 * 16
+    assert outside.where("value IS NOT NULL").count() == 3 * 4
+
+
 def test_assemble_is_an_inner_match_that_keeps_nulls(spark):
     a = cube(spark, [(0, 0, 0, 1.0), (1, 0, 0, None), (2, 0, 0, 3.0)])
     b = cube(spark, [(0, 0, 0, 5.0), (1, 0, 0, 6.0), (1, 0, 1, 7.0)])
