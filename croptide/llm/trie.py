@@ -18,31 +18,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from croptide.llm.mixing import word_count
+from croptide.llm.skew import join_by_weight
 from croptide.llm.storage import stage
 from croptide.operators.numbering import number_rows
 
 HEIGHT = 32  # depths per band
 SPAN = 1_024  # turns of one conversation that one window holds
 COPIES = 4_096  # repeats of one row made at a time
-HOT = 4_096  # keys that hold more than 1 / HOT of all rows; there are fewer than HOT
 ENDS_BITS = 10  # ids are joined in ranges of 2**ENDS_BITS before they are hashed
 BORROW, EVERY = 4, 20  # leading turns come from the first of EVERY, fewer than BORROW
 
 NODE = ["conv_id", "depth"]
 
 
-def join_by_weight(rows: DataFrame, totals: DataFrame, keys: list[str], n: str) -> DataFrame:
-    """Inner join with one row per key that knows its number ``n`` of ``rows``.
-
-    Keys with more than ``1 / HOT`` of all rows number fewer than ``HOT``: these are
-    broadcast, so that no task gets all rows of such a key. The rest is shuffled.
-    """
-    bound = (totals.agg(F.sum(n)).first()[0] or 0) // HOT
-    hot = F.broadcast(totals.where(F.col(n) > bound))
-    rest = rows.join(hot.select(*keys), keys, "left_anti")
-    return rows.join(hot, keys).unionByName(rest.join(totals.where(F.col(n) <= bound), keys))
-
-
 def _borrowed(conv_id: Column) -> Column:
     """How many leading turns of its first a conversation begins with."""
     return F.crc32(conv_id.cast("string").cast("binary")) % BORROW

@@ -8,7 +8,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from croptide.llm import trie
+from croptide.llm import skew, trie
 from croptide.operators.numbering import number_rows
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
@@ -77,7 +77,7 @@ def test_hot_keys_spans_and_copies(spark, monkeypatch):
         (460, 3, "user", "again")] * 7
     frame = spark.createDataFrame(rows, CONVERSATIONS)
     for hot in (1, 50, 10**6):
-        monkeypatch.setattr(trie, "HOT", hot)
+        monkeypatch.setattr(skew, "HOT", hot)
         assert sorted(tuple(r) for r in trie.prefix_trie(frame, 3).collect()) == brute(rows)
 
 
