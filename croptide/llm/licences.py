@@ -1,4 +1,4 @@
-"""Licence scan: TF-IDF cosine of lines to templates, then inheritance by directory."""
+"""Licence scan: TF-IDF cosine of header blocks to templates, then inheritance by directory."""
 
 from __future__ import annotations
 
@@ -7,18 +7,55 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from croptide.llm.skew import join_by_weight
+from croptide.llm.storage import stage
+
 THRESHOLD = 0.75
 
-#: Usual licence statements.
+#: The licences' usual statements, headers, titles and first sentences.
 TEMPLATES = (
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by "
+                 "the Free Software Foundation, either version 3 of the License"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without "
+                     "modification, are permitted provided that the following conditions are met"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license."),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors "
+                     "may be used to endorse or promote products derived from this software"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "under the terms of the GNU General Public License as published by the Free "
+                "Software Foundation; either version 2 of the License"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose "
+            "with or without fee is hereby granted"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the "
+                 "Free Software Foundation; either version 3 of the License"),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+            "this software and associated documentation files"),
     ("MPL-2.0", "This work is subject to the terms of the Mozilla Public License, version 2.0."),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, "
+                "v. 2.0."),
 )
+BLOCK = 3  # consecutive lines that are compared together at most
 
 
 #: What separates terms besides blanks; a dot does before a blank or at the end.
@@ -36,28 +73,64 @@ def terms(line: Column) -> Column:
 
 
 def template_table(spark, templates=TEMPLATES) -> DataFrame:
-    """``(license, term, tf)`` of the templates: a table of fixed size."""
-    table = spark.createDataFrame(list(templates), "license string, line string")
-    return table.select("license", F.explode(terms(F.col("line"))).alias("term")).groupBy(
-        "license", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``(license, statement, term, tf)`` of the templates: a table of fixed size."""
+    table = spark.createDataFrame([(name, k, line) for k, (name, line) in enumerate(templates)],
+                                  "license string, statement int, line string")
+    return table.select("license", "statement", F.explode(terms(F.col("line"))).alias("term")
+                        ).groupBy("license", "statement", "term").agg(
+        F.count(F.lit(1)).alias("tf"))
+
+
+def _split(text: Column) -> Column:
+    return F.split(text, "\\r\\n|[\\n\\r]")
 
 
-def _lines(files: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``(path, line_no, terms)`` of the lines with one of some terms."""
-    return (files.select("path", F.posexplode(F.split("text", "\\r\\n|[\\n\\r]"))
-                         .alias("line_no", "line"))
-            .select("path", "line_no", terms(F.col("line")).alias("terms"))
-            .where(F.arrays_overlap("terms", F.array(*map(F.lit, vocabulary)))))
+def term_counts(files: DataFrame) -> DataFrame:
+    """``(term, df)``: in how many lines of all files each term is, as a stage.
+
+    The empty term stands for the number of lines that have any.
+    """
+    lines = files.select(F.explode(_split(F.col("text"))).alias("line")).select(
+        F.array_distinct(terms(F.col("line"))).alias("terms")).where(F.size("terms") > 0)
+    return stage(lines.select(F.explode(F.array_append("terms", F.lit(""))).alias("term"))
+                 .groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
 
 
-def _telling(by_license: dict[str, dict[str, float]], threshold: float) -> list[str]:
-    """Terms of which a line needs one to reach ``threshold`` with any template.
+def _blocks(files: DataFrame, telling: list[str]) -> DataFrame:
+    """``(path, line_no, n_lines, terms)``: runs of up to ``BLOCK`` lines with a telling term.
+
+    Only runs with such a line are made, so a text is copied once for each of its
+    lines of that kind, however long it is.
+    """
+    words = F.array(*map(F.lit, telling))
+    cut = files.select("path", _split(F.col("text")).alias("lines")).withColumn(
+        "hits", F.filter(F.transform("lines", lambda x, i: F.when(
+            F.arrays_overlap(terms(x), words), i)), lambda i: i.isNotNull()))
+    runs = [(first, size) for size in range(1, BLOCK + 1) for first in range(1 - size, 1)]
+
+    def around(hit: Column) -> Column:
+        return F.array(*(F.struct((hit + first).alias("line_no"), F.lit(size).alias("n_lines"))
+                         for first, size in runs))
+
+    near = F.array_distinct(F.filter(
+        F.flatten(F.transform("hits", around)),
+        lambda r: (r["line_no"] >= 0) & (r["line_no"] + r["n_lines"] <= F.size("lines"))))
+    made = cut.where(F.size("hits") > 0).withColumn("runs", near).select(
+        "path", F.explode(F.transform("runs", lambda r: F.struct(
+            r["line_no"].alias("line_no"), r["n_lines"].alias("n_lines"),
+            F.array_join(F.slice("lines", r["line_no"] + 1, r["n_lines"]), " ").alias("block"))))
+        .alias("r"))
+    return made.select("path", "r.line_no", "r.n_lines", terms(F.col("r.block")).alias("terms"))
+
+
+def _telling(vectors: dict[int, dict[str, float]], threshold: float) -> list[str]:
+    """Terms of which a block needs one to reach ``threshold`` with any template.
 
     Without them the rest of a template's vector is too short: a cosine is at
     most the length of the shared part over that of the template.
     """
     out = set()
-    for vector in by_license.values():
+    for vector in vectors.values():
         whole = left = sum(w * w for w in vector.values())
         for term, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
             if left < 0.999 * threshold * threshold * whole:
@@ -69,61 +142,54 @@ def _telling(by_license: dict[str, dict[str, float]], threshold: float) -> list[
 
 def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD
                  ) -> DataFrame:
-    """``(path, license, score, line_no)``: the best template of each file's lines.
+    """``(path, license, score, line_no, n_lines)``: the best template of each file's blocks.
 
-    ``files`` has ``path, text``. Every line of the whole text is a candidate
-    header. Weights are ``tf * idf`` with ``idf = 1 + ln((1 + N) / (1 + df))``
-    over all lines that hold a template term; a term outside the templates counts
-    as one seen nowhere else. Files whose best cosine is below ``threshold`` are
-    left out; ties go to the first licence by name, then the first line.
+    ``files`` has ``path, text``. Every run of up to ``BLOCK`` lines of the whole
+    text is compared, so a header may be wrapped. Weights are ``tf * idf`` with
+    ``idf = 1 + ln((1 + N) / (1 + df))`` over all lines of all files. Files whose
+    best cosine is below ``threshold`` are left out; ties (to 12 digits) go to the
+    first licence by name, the first line and the shortest block.
     """
     spark = files.sparkSession
     table = template_table(spark, templates)
-    vocabulary = sorted({r["term"] for r in table.select("term").distinct().collect()})
-    known = F.array(*map(F.lit, vocabulary))
-    lines = _lines(files, vocabulary)
-    # Corpus statistics: one row per template term, and the empty one for all lines.
-    seen = F.concat(F.array(F.lit("")), F.array_intersect("terms", known))
-    df = {r["term"]: r["df"] for r in lines.select(F.explode(seen).alias("term"))
-          .groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}
-    total = df.get("", 0)
-
-    def idf_of(n: int) -> float:
-        return 1.0 + math.log((1.0 + total) / (1.0 + n))
-
-    unseen = idf_of(0)
-    idf = {t: idf_of(df.get(t, 0)) for t in vocabulary}
-    by_license: dict[str, dict[str, float]] = {}
+    counts = term_counts(files)
+    wanted = F.broadcast(table.select("term").distinct().unionByName(
+        spark.createDataFrame([("",)], "term string")))
+    known = {r["term"]: r["df"] for r in counts.join(wanted, "term").collect()}
+    total = known.get("", 0)
+
+    def idf(df: Column) -> Column:
+        return 1.0 + F.log((1.0 + F.lit(total)) / (1.0 + F.coalesce(df, F.lit(0))))
+
+    vectors: dict[int, dict[str, float]] = {}
+    names: dict[int, str] = {}
     for r in table.collect():
-        by_license.setdefault(r["license"], {})[r["term"]] = r["tf"] * idf[r["term"]]
-    # The squared length of a line: sum of (tf * idf)^2 over its distinct terms.
-    counted = _lines(files, _telling(by_license, threshold)).withColumn("distinct", F.array_distinct("terms"))
-    weights = F.create_map(*(x for t in vocabulary for x in (F.lit(t), F.lit(idf[t]))))
-
-    def tf(term: Column) -> Column:
-        return F.size(F.filter("terms", lambda x: x == term)).cast("double")
-
-    vectors = counted.withColumn("vector", F.transform("distinct", lambda t: F.struct(
-        t.alias("term"), (tf(t) * F.coalesce(F.try_element_at(weights, t), F.lit(unseen)))
-        .alias("w"))))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v["w"] * v["w"]))
-    scored = vectors.withColumn("norm", norm)
-
-    def cosine(vector: dict[str, float]) -> Column:
-        size = math.sqrt(sum(w * w for w in vector.values()))
-        side = F.create_map(*(x for t, w in sorted(vector.items())
-                              for x in (F.lit(t), F.lit(w / size))))
-        return F.aggregate("vector", F.lit(0.0), lambda s, v: s + v["w"] * F.coalesce(
-            F.try_element_at(side, v["term"]), F.lit(0.0))) / F.col("norm")
-
-    options = [F.struct(cosine(vector).alias("score"), F.lit(license).alias("license"))
-               for license, vector in sorted(by_license.items())]
-    best = (scored.select("path", "line_no", F.explode(F.array(*options)).alias("o"))
-            .select("path", "line_no", "o.*").where(F.col("score") >= threshold))
-    # The largest score first, then the smallest licence and line.
+        names[r["statement"]] = r["license"]
+        vectors.setdefault(r["statement"], {})[r["term"]] = r["tf"] * (
+            1.0 + math.log((1.0 + total) / (1.0 + known.get(r["term"], 0))))
+    side = F.broadcast(spark.createDataFrame(
+        [(names[k], k, t, w / math.sqrt(sum(x * x for x in v.values())))
+         for k, v in vectors.items() for t, w in v.items()],
+        "license string, statement int, term string, side double"))
+
+    block = ["path", "line_no", "n_lines"]
+    held = stage(_blocks(files, _telling(vectors, threshold)).select(
+        *block, F.explode("terms").alias("term")).groupBy(*block, "term").agg(
+        F.count(F.lit(1)).alias("tf")), "blocks")
+    # A term such as "the" may be in every block: its rows are not shuffled by it.
+    used = stage(held.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(
+        counts, "term").select("term", "n", idf(F.col("df")).alias("idf")), "weights")
+    weighted = join_by_weight(held, used, ["term"], "n").select(
+        *block, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    lengths = weighted.groupBy(*block).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    shared = weighted.join(side, "term").groupBy(*block, "license", "statement").agg(
+        F.sum(F.col("w") * F.col("side")).alias("shared"))
+    best = shared.join(lengths, block).withColumn(
+        "score", F.col("shared") / F.col("norm")).where(F.col("score") >= threshold)
+    # The largest score first, then the smallest licence, line and block.
     return best.groupBy("path").agg(F.min(F.struct(
-        (-F.col("score")).alias("s"), "license", "line_no")).alias("m")).select(
-        "path", "m.license", (-F.col("m.s")).alias("score"), "m.line_no")
+        (-F.round("score", 12)).alias("s"), "license", "line_no", "n_lines")).alias("m")).select(
+        "path", "m.license", (-F.col("m.s")).alias("score"), "m.line_no", "m.n_lines")
 
 
 def directory(path: Column) -> Column:
@@ -153,8 +219,8 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     """
     made = {"license", "score", "origin", "directory"}
     files = files.select(*(F.col(f"`{c}`") for c in files.columns if c.lower() not in made))
-    own = own_licences(files.where("path IS NOT NULL").select("path", "text"), templates,
-                       threshold)
+    own = stage(own_licences(files.where("path IS NOT NULL").select("path", "text"), templates,
+                             threshold), "own")
     marked = files.join(own.select("path", F.struct("license", "score").alias("_own")),
                         "path", "left")
     granted = (files.where("is_licence_file AND path IS NOT NULL")

@@ -59,18 +59,15 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_files(docs: DataFrame) -> DataFrame:
     """Documents as files: ``source/language/hundred/name``.
 
-    A document that opens with a licence line plays the licence file of its
-    directory.
+    Each may be the licence file of its directory: those with a licence of their
+    own grant it.
     """
-    first = F.get(F.split(F.trim("text"), "\\R"), F.lit(0))
-    opens = F.coalesce(F.lower(first).rlike("licen[cs]ed? "), F.lit(False)) & (
-        F.length(first) < 100)
     place = F.concat_ws("/", F.coalesce("source", F.lit("none")),
                         F.coalesce("lang", F.lit("none")),
                         F.floor(F.col("doc_id") / 100).cast("string"))
     return docs.select(
         "doc_id", F.concat(place, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
-        .alias("path"), "text", opens.alias("is_licence_file"))
+        .alias("path"), "text", F.lit(True).alias("is_licence_file"))
 
 
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,57 +129,60 @@ FROM placed
 _SEPARATORS = SEPARATORS.replace("'", "''")
 _TERMS = f"""list_filter(string_split(replace(translate(lower(line), '{_SEPARATORS}',
     '{" " * len(SEPARATORS)}') || ' ', '. ', ' '), ' '), lambda x: x <> '')"""
-_TEMPLATES = ", ".join(f"('{name}', '{line}')" for name, line in TEMPLATES)
+_TEMPLATES = ", ".join(f"('{name}', {k}, '{line}')" for k, (name, line) in enumerate(TEMPLATES))
 
 LICENCE_SQL = rf"""
 WITH files AS (
     SELECT doc_id, text,
            concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'),
-                     (doc_id // 100)::VARCHAR) || '/' || doc_id::VARCHAR || '.txt' AS path,
-           coalesce(regexp_matches(lower(str_split_regex(trim(text), '\r\n|[\n\r]')[1]),
-                                   'licen[cs]ed? '), false)
-           AND length(str_split_regex(trim(text), '\r\n|[\n\r]')[1]) < 100 AS is_licence_file
+                     (doc_id // 100)::VARCHAR) || '/' || doc_id::VARCHAR || '.txt' AS path
     FROM documents),
 tv AS (
-    SELECT license, term, count(*) AS tf
-    FROM (SELECT license, unnest({_TERMS}) AS term
-          FROM (VALUES {_TEMPLATES}) AS t(license, line))
-    GROUP BY license, term),
-vocabulary AS (SELECT DISTINCT term FROM tv),
-lines AS (
-    SELECT path, line_no, {_TERMS} AS terms
-    FROM (SELECT path, unnest(parts) AS line, unnest(range(0, len(parts))) AS line_no
-          FROM (SELECT path, str_split_regex(text, '\r\n|[\n\r]') AS parts FROM files
-                WHERE path IS NOT NULL AND text IS NOT NULL))),
-tf AS (
-    SELECT path, line_no, term, count(*)::DOUBLE AS tf
-    FROM (SELECT path, line_no, unnest(terms) AS term FROM lines)
-    GROUP BY path, line_no, term),
-known AS (SELECT DISTINCT path, line_no FROM tf SEMI JOIN vocabulary USING (term)),
-total AS (SELECT count(*) AS n FROM known),
+    SELECT license, statement, term, count(*) AS tf
+    FROM (SELECT license, statement, unnest({_TERMS}) AS term
+          FROM (VALUES {_TEMPLATES}) AS t(license, statement, line))
+    GROUP BY license, statement, term),
+parts AS (
+    SELECT path, str_split_regex(text, '\r\n|[\n\r]') AS parts FROM files
+    WHERE path IS NOT NULL AND text IS NOT NULL),
+line_terms AS (
+    SELECT path, line_no, unnest(list_distinct({_TERMS})) AS term
+    FROM (SELECT path, unnest(parts) AS line, unnest(range(0, len(parts))) AS line_no FROM parts)),
+total AS (SELECT count(*) AS n FROM (SELECT DISTINCT path, line_no FROM line_terms)),
 idf AS (
-    SELECT v.term, 1 + ln((1.0 + (SELECT n FROM total)) / (1.0 + count(tf.term))) AS idf
-    FROM vocabulary v LEFT JOIN tf ON tf.term = v.term GROUP BY v.term),
-weighted AS (
-    SELECT path, line_no, tf.term,
-           tf * coalesce(idf, 1 + ln(1.0 + (SELECT n FROM total))) AS w
-    FROM tf SEMI JOIN known USING (path, line_no) LEFT JOIN idf ON idf.term = tf.term),
-norms AS (SELECT path, line_no, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY path, line_no),
-side AS (SELECT license, term, tf * idf AS w FROM tv JOIN idf USING (term)),
-sizes AS (SELECT license, sqrt(sum(w * w)) AS size FROM side GROUP BY license),
+    SELECT term, 1 + ln((1.0 + (SELECT n FROM total)) / (1.0 + count(*))) AS idf
+    FROM line_terms GROUP BY term),
+unseen AS (SELECT 1 + ln(1.0 + (SELECT n FROM total)) AS idf),
+side AS (
+    SELECT license, statement, tv.term, tf * coalesce(i.idf, (SELECT idf FROM unseen)) AS w
+    FROM tv LEFT JOIN idf i ON i.term = tv.term),
+sizes AS (SELECT statement, sqrt(sum(w * w)) AS size FROM side GROUP BY statement),
+blocks AS (
+    SELECT path, line_no, n_lines,
+           array_to_string(parts[line_no + 1:line_no + n_lines], ' ') AS line
+    FROM (SELECT path, parts, n_lines, unnest(range(0, len(parts) - n_lines + 1)) AS line_no
+          FROM parts, (SELECT unnest([1, 2, 3]) AS n_lines))),
+tf AS (
+    SELECT path, line_no, n_lines, term, count(*)::DOUBLE AS tf
+    FROM (SELECT path, line_no, n_lines, unnest({_TERMS}) AS term FROM blocks) GROUP BY ALL),
+weighted AS (SELECT tf.* EXCLUDE (tf), tf * idf AS w FROM tf JOIN idf USING (term)),
+norms AS (
+    SELECT path, line_no, n_lines, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY ALL),
 scored AS (
-    SELECT path, line_no, license, sum(a.w * b.w) / any_value(norm) / any_value(size) AS score
-    FROM weighted a JOIN side b ON b.term = a.term JOIN norms USING (path, line_no)
-    JOIN sizes USING (license)
-    GROUP BY path, line_no, license HAVING score >= {THRESHOLD}),
+    SELECT path, line_no, n_lines, license,
+           sum(a.w * b.w) / any_value(norm) / any_value(size) AS score
+    FROM weighted a JOIN side b ON b.term = a.term JOIN norms USING (path, line_no, n_lines)
+    JOIN sizes USING (statement)
+    GROUP BY path, line_no, n_lines, license, statement HAVING score >= {THRESHOLD}),
 own AS (
-    SELECT path, first(license ORDER BY round(score, 12) DESC, license, line_no) AS license,
+    SELECT path, first(license ORDER BY round(score, 12) DESC, license, line_no, n_lines)
+               AS license,
            max(score) AS score
     FROM scored GROUP BY path),
 placed AS (SELECT *, regexp_replace(path, '/?[^/]*$', '') AS place FROM files),
 votes AS (
     SELECT place AS above, o.license, count(*) AS n FROM placed p JOIN own o ON o.path = p.path
-    WHERE is_licence_file GROUP BY place, o.license),
+    GROUP BY place, o.license),
 granted AS (SELECT above, first(license ORDER BY n DESC, license) AS license FROM votes
             GROUP BY above),
 above AS (
