@@ -29,7 +29,6 @@ from croptide.functions.calendar import (
     marketing_year,
 )
 from croptide.functions.windows import bfill_column, ffill_column
-from croptide.operators.filters import clip_dates
 from croptide.session import stage_path
 
 MAX_SERIES = 10_000
@@ -114,8 +113,8 @@ def _method(how: str | Mapping[str, str], columns: Sequence[str]) -> Column | st
 
 
 def resample_weekly(df: DataFrame, how: str | Mapping[str, str] = "mean",
-                    order: str = "date") -> DataFrame:
-    """(series, week, value) per Monday-closed week.
+                    order: str = "date", by: Sequence[str] = ()) -> DataFrame:
+    """(series, week, *by, value) per Monday-closed week.
 
     ``how`` is sum, mean or last: for all series, per series, or in a column
     ``how`` of the rows. ``last`` is the last known value by ``order``. All
@@ -136,7 +135,7 @@ def resample_weekly(df: DataFrame, how: str | Mapping[str, str] = "mean",
         # `how` and the map both depend on the series alone.
         chosen = reduce(lambda c, m: c.when(method == m, pick[m]), ("mean", "last"),
                         F.when(method == "sum", pick["sum"]))
-    return (df.groupBy("series", closing_monday("date").alias("week"))
+    return (df.groupBy("series", closing_monday("date").alias("week"), *by)
             .agg(chosen.alias("value")))
 
 
@@ -217,17 +216,21 @@ def merge_weekly_long(sources: Sequence[DataFrame], start: str = PREDICTOR_START
     backwards. A series that ends before the range is absent, as before.
     """
     rows = reduce(DataFrame.unionByName, sources)
-    inside = resample_weekly(clip_dates(rows, start, end), how)
-    first = F.lit(_mondays(start, end)[0])
-    earlier = resample_weekly(
-        rows.filter(F.col("date") < F.lit(start).cast("date")), how)
-    # One row per series, in the week before the first one.
-    carried = (earlier.filter(F.col("value").isNotNull()).groupBy("series")
-               .agg(F.max_by("value", "week").alias("value"))
-               .select("series", F.date_sub(first, 7).alias("week"), "value"))
-    known = carried.join(inside.select("series").distinct(), "series", "left_semi")
+    opens, closes = (F.lit(d).cast("date") for d in (start, end))
+    weekly = resample_weekly(
+        rows.filter(F.col("date") <= closes).withColumn("_early", F.col("date") < opens), how,
+        by=["_early"])
+    # Of the weeks before the range one row is left per series, in the week before the
+    # first one. The windows are by series, like those of the fills.
+    first, early = F.lit(_mondays(start, end)[0]), F.col("_early")
+    series = Window.partitionBy("series")
+    latest = F.max(F.when(early & F.col("value").isNotNull(), F.col("week"))).over(series)
+    known = (weekly.select("*", latest.alias("_last"), F.min("_early").over(series).alias("_gone"))
+             .filter(~early | ((F.col("week") == F.col("_last")) & ~F.col("_gone")))
+             .select("series", F.when(early, F.date_sub(first, 7)).otherwise(F.col("week"))
+                     .alias("week"), "value"))
     before = (Date.fromisoformat(start) - timedelta(days=7)).isoformat()
-    filled = ffill(densify_weekly(inside.unionByName(known), before, end))
+    filled = ffill(densify_weekly(known, before, end))
     return bfill(filled.filter(F.col("week") >= first), limit=bfill_limit)
 
 

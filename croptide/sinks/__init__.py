@@ -11,5 +11,5 @@ from croptide.sinks.tables import (
 )
 
 __all__ = ["RequestMismatch", "clear_stages", "existing_keys", "fingerprint",
-           "materialize_stage", "replace_table", "store_request", "stored_requests", "write_features",
-           "write_index_store", "write_missing_partitions"]
+           "materialize_stage", "replace_table", "store_request", "stored_requests",
+           "write_features", "write_index_store", "write_missing_partitions"]
