@@ -96,6 +96,7 @@ class LanguageModel:
     share: np.ndarray
     feature: np.ndarray  # of each hashed trigram, -1 if not chosen
     likelihood: np.ndarray  # features x languages
+    typical: np.ndarray  # trigrams x languages: log rate less that of the language's own texts
 
     @classmethod
     def from_counts(cls, languages: list[str], docs: np.ndarray, counts: np.ndarray
@@ -110,7 +111,10 @@ class LanguageModel:
         feature = np.full(counts.shape[1], -1, dtype=np.int64)
         feature[chosen] = np.arange(len(chosen))
         own = rate[:, chosen] / rate[:, chosen].sum(axis=1, keepdims=True)
-        return cls(languages, docs / docs.sum(), feature, own.T.copy())
+        logs, shares = np.log(rate), counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+        typical = logs - (shares * logs).sum(axis=1, keepdims=True)
+        return cls(languages, docs / docs.sum(), feature, own.T.copy(),
+                   typical.T.astype(np.float32))
 
 
 def _mixtures(model: LanguageModel, doc: np.ndarray, feature: np.ndarray, n: np.ndarray,
@@ -160,14 +164,16 @@ def _mixtures(model: LanguageModel, doc: np.ndarray, feature: np.ndarray, n: np.
     return share
 
 
-def _predict_batches(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
-    """Adds ``lang_pred`` and ``score`` and drops the text if the schema does."""
+def _predict_batches(batches: Iterator[pa.RecordBatch], held, explained: bool
+                     ) -> Iterator[pa.RecordBatch]:
+    """Adds ``lang_pred`` and ``score``, and ``fit`` if ``explained``."""
     model = LanguageModel(*held.value)
     names = np.array([*model.languages, UNKNOWN], dtype=object)
     for batch in batches:
-        predicted, scores = [], []
+        predicted, scores, fits = [], [], []
         for _, _, texts in _texts(batch):
             doc, gram, lettered = _grams(texts)
+            all_docs, all_grams = doc, gram
             feature = model.feature[gram]
             doc, feature = doc[feature >= 0], feature[feature >= 0]
             pair, n = np.unique(doc * FEATURES + feature, return_counts=True)
@@ -178,11 +184,19 @@ def _predict_batches(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.Rec
             score = share.max(axis=1) if share.shape[1] else np.zeros(len(texts))
             predicted += names[np.where(known, top, len(model.languages))].tolist()
             scores.append(np.where(known, np.clip(score, 0, 1), 0.0))
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in batch.schema.names),
-             pa.array(predicted, pa.string()),
-             pa.array(np.concatenate([np.zeros(0), *scores]))],
-            [*batch.schema.names, "lang_pred", "score"])
+            if explained:
+                told = known[all_docs]
+                mean = np.bincount(all_docs[told], minlength=len(texts), weights=model.typical[
+                    all_grams[told], top[all_docs[told]]])
+                n = np.bincount(all_docs[told], minlength=len(texts))
+                fits.append(np.where(n > 0, mean / np.maximum(n, 1), np.nan))
+        columns = [*(batch.column(c) for c in batch.schema.names), pa.array(predicted, pa.string()),
+                   pa.array(np.concatenate([np.zeros(0), *scores]))]
+        names_out = [*batch.schema.names, "lang_pred", "score"]
+        if explained:
+            columns.append(pa.array(np.concatenate([np.zeros(0), *fits]), from_pandas=True))
+            names_out.append("fit")
+        yield pa.RecordBatch.from_arrays(columns, names_out)
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel:
@@ -211,10 +225,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel:
         table[rows, counts["gram"].to_numpy()] = counts["n"].to_numpy()
     docs = np.array([n for _, n in sizes], dtype=float)
     return LanguageModel.from_counts(names, docs, table) if names else LanguageModel(
-        [], np.zeros(0), np.full(1 << GRAM_BITS, -1), np.zeros((FEATURES, 0)))
+        [], np.zeros(0), np.full(1 << GRAM_BITS, -1), np.zeros((FEATURES, 0)),
+        np.zeros((1 << GRAM_BITS, 0), np.float32))
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
+def predict(docs: DataFrame, model: LanguageModel, explained: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), judged by ``text`` alone.
 
     ``und`` with score 0 when the text is null or has no letter, or nothing was
@@ -222,15 +237,20 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     language with its share as score. Ties go to the first language in order.
     Existing columns of the two names are replaced; repeated rows give repeated
     rows; an empty table gives an empty one.
+
+    ``explained`` adds ``fit``: how much less likely the text's trigrams, all of
+    them, are in the language than those of its own texts, as the mean difference
+    of their logarithms. Text of the language is near 0, whatever its length; text
+    in no learned language is far below. Null where ``lang_pred`` is ``und``.
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns
-                         if c.lower() not in ("lang_pred", "score")))
+                         if c.lower() not in ("lang_pred", "score", *["fit"] * explained)))
     # Plain values: broadcasts are pickled by reference to their classes.
     held = docs.sparkSession.sparkContext.broadcast(
-        (model.languages, model.share, model.feature, model.likelihood))
+        (model.languages, model.share, model.feature, model.likelihood, model.typical))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
-                       + ["lang_pred string", "score double"])
-    return kept.mapInArrow(partial(_predict_batches, held=held), schema)
+                       + ["lang_pred string", "score double", *["fit double"] * explained])
+    return kept.mapInArrow(partial(_predict_batches, held=held, explained=explained), schema)
 
 
 def held_out(docs: DataFrame):
