@@ -19,6 +19,7 @@ from croptide.constants import (
 )
 from croptide.operators.series import disaggregate_quarterly, expand_annual, merge_weekly
 from croptide.operators.spatial import belt_aggregate
+from croptide.sinks import replace_table
 from croptide.sources import read_series
 
 BELT_STATS = ("Belt_Mean", "Belt_Std", "Belt_Min", "Belt_Max")
@@ -78,18 +79,24 @@ def published_series(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def predictor_run(spark: SparkSession, features_path: str, tables: Mapping[str, str],
                   output_path: str, regions: Sequence[str] = BELT_STATES,
                   start: str = PREDICTOR_START, end: str = PREDICTOR_END,
-                  target: str | None = TARGET_SERIES) -> str:
+                  target: str | None = TARGET_SERIES, csv_path: str | None = None) -> str:
     """Regional features and published tables to the stored weekly predictor table.
 
     ``features_path`` is a table of ``process_regions_daily``; ``tables`` maps
     kinds of ``read_series`` to paths. Writes one row per Monday (``Date``) as
-    Parquet, an existing table is replaced, and returns the path.
+    Parquet, an existing table is replaced once the new one is complete, and
+    returns the path. ``csv_path`` gets the same rows as one CSV file with a header,
+    in order.
     """
     belt = belt_aggregate(
         regions_of_features(spark.read.parquet(features_path), regions), regions)
     sources = [belt_series(belt)] + [published_series(spark, p, k) for k, p in tables.items()]
     merged = weekly_predictors(sources, start, end, target)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(output_path)
+    replace_table(spark, output_path, merged.write.parquet)
+    if csv_path:
+        # One row per Monday: the calendar bounds it.
+        stored = spark.read.parquet(output_path).orderBy("Date").coalesce(1)
+        replace_table(spark, csv_path, stored.write.option("header", True).csv)
     return output_path
 
 

@@ -334,7 +334,12 @@ def test_predictor_run(spark, tmp_path):
         "risk": table("r", "date,GPR", "2019-11-01,80", "2020-01-10,NaN"),
     }
     path = predictor_run(spark, str(tmp_path / "f"), tables, str(tmp_path / "out"),
-                         ["KS", "ND", "XX"], "2020-01-01", "2020-01-26")
+                         ["KS", "ND", "XX"], "2020-01-01", "2020-01-26",
+                         csv_path=str(tmp_path / "csv"))
+    (file,) = (tmp_path / "csv").glob("*.csv")
+    lines = file.read_text().splitlines()
+    assert lines[0].split(",") == spark.read.parquet(path).columns
+    assert [x.split(",")[0] for x in lines[1:]] == ["2020-01-06", "2020-01-13", "2020-01-20"]
     rows = spark.read.parquet(path).orderBy("Date").collect()
     assert [r["Date"] for r in rows] == [date(2020, 1, 6), date(2020, 1, 13), date(2020, 1, 20)]
     assert rows[1]["GDD_Belt_Mean"] == pytest.approx(sum(1.5 * d for d in range(7, 14)))
