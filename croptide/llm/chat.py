@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from croptide.operators.numbering import number_rows
+
 SYSTEM = "system"
 NOBODY = "unknown"
-SPAN = 1024  # turns whose lengths are summed together
+SPAN = 1024  # messages whose lengths are summed together
 OPEN, CLOSE, BREAK = "<|im_start|>", "<|im_end|>", "\n"
 
 
@@ -36,14 +38,17 @@ def rotate(conversations: DataFrame) -> DataFrame:
     rows are repeated messages. A null or blank role is a participant
     ``unknown``, a null text is empty, conversations with a null id are one
     conversation. A conversation of the system alone has no views; an empty
-    table gives an empty one. Places come from sums per ``SPAN`` turns and
-    running sums over those and within each, so a huge conversation is not
-    sorted in one task.
+    table gives an empty one. Messages are numbered by ranges of their order.
+    Places come from sums per ``SPAN`` numbers and running sums over those and
+    within each, so a huge conversation is not sorted in one task, nor are all
+    its messages without a turn or of one turn.
     """
-    messages = conversations.select(
+    messages = number_rows(conversations.select(
         F.struct(F.col("conv_id").alias("id")).alias("conv"), F.col("turn").cast("long"),
         F.coalesce(F.nullif(F.trim("role"), F.lit("")), F.lit(NOBODY)).alias("speaker"),
-        F.coalesce("text", F.lit("")).alias("text"))
+        F.coalesce("text", F.lit("")).alias("text")),
+        F.col("conv.id").asc_nulls_first(), F.col("turn").asc_nulls_last(), "speaker", "text",
+        name="number")
     views = messages.join(participants(messages), "conv")
     own = F.col("speaker") == F.col("perspective")
     role = F.when(own, "assistant").when(F.col("speaker") == SYSTEM, SYSTEM).otherwise("user")
@@ -55,18 +60,16 @@ def rotate(conversations: DataFrame) -> DataFrame:
              .withColumn("head", F.length(head))
              .withColumn("segment", F.concat(head, "text", F.lit(CLOSE + BREAK)))
              .withColumn("chars", F.length("segment").cast("long"))
-             # Null turns come last: they have a span of their own.
-             .withColumn("late", F.col("turn").isNull())
-             .withColumn("span", F.coalesce(F.floor(F.col("turn") / SPAN), F.lit(0))))
-    key = ["conv", "perspective", "late", "span"]
+             .withColumn("span", F.floor(F.col("number") / SPAN)))
+    key = ["conv", "perspective", "span"]
     spans = shown.groupBy(*key).agg(F.sum("chars").alias("span_chars"),
                                     F.count(F.lit(1)).alias("span_rows"))
-    earlier = (Window.partitionBy("conv", "perspective").orderBy("late", "span")
+    earlier = (Window.partitionBy("conv", "perspective").orderBy("span")
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = spans.select(
         *key, F.coalesce(F.sum("span_chars").over(earlier), F.lit(0)).alias("chars_before"),
         F.coalesce(F.sum("span_rows").over(earlier), F.lit(0)).alias("rows_before"))
-    inside = Window.partitionBy(*key).orderBy("turn", "speaker", "text")
+    inside = Window.partitionBy(*key).orderBy("number")
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     placed = (shown.withColumn("rank", F.row_number().over(inside) - 1)
               .withColumn("upto", F.sum("chars").over(running)).join(offsets, key))

@@ -43,6 +43,8 @@ def test_long_conversation_over_many_spans(spark, monkeypatch):
     monkeypatch.setattr(chat, "SPAN", 7)
     rows = [(9, i, f"p{i % 3}", "x" * (i % 11)) for i in range(-20, 300)]
     rows += [(9, 50, "p1", "again")] * 2
+    # Very many messages of one turn, and without a turn.
+    rows += [(7, turn, f"p{i % 2}", "y" * (i % 5)) for turn in (3, None) for i in range(50)]
     assert found(spark, rows) == plain(rows)
 
 
