@@ -46,7 +46,7 @@ TEMPLATES = (
     ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the "
                  "Free Software Foundation; either version 3 of the License"),
     ("MIT", "Released under the MIT License."),
-    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "The MIT License"),
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
             "this software and associated documentation files"),
@@ -123,20 +123,22 @@ def _blocks(files: DataFrame, telling: list[str]) -> DataFrame:
     return made.select("path", "r.line_no", "r.n_lines", terms(F.col("r.block")).alias("terms"))
 
 
-def _telling(vectors: dict[int, dict[str, float]], threshold: float) -> list[str]:
+def _telling(vectors: dict[int, dict[str, float]], idf: dict[str, float], threshold: float
+             ) -> list[str]:
     """Terms of which a block needs one to reach ``threshold`` with any template.
 
     Without them the rest of a template's vector is too short: a cosine is at
-    most the length of the shared part over that of the template.
+    most the length of the shared part over that of the template. The rarest
+    terms are taken, so that few blocks have one.
     """
     out = set()
     for vector in vectors.values():
         whole = left = sum(w * w for w in vector.values())
-        for term, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+        for term in sorted(vector, key=lambda t: (-idf[t], t)):
             if left < 0.999 * threshold * threshold * whole:
                 break
             out.add(term)
-            left -= w * w
+            left -= vector[term] * vector[term]
     return sorted(out)
 
 
@@ -163,17 +165,18 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
 
     vectors: dict[int, dict[str, float]] = {}
     names: dict[int, str] = {}
+    rarity: dict[str, float] = {}
     for r in table.collect():
         names[r["statement"]] = r["license"]
-        vectors.setdefault(r["statement"], {})[r["term"]] = r["tf"] * (
-            1.0 + math.log((1.0 + total) / (1.0 + known.get(r["term"], 0))))
+        rarity[r["term"]] = 1.0 + math.log((1.0 + total) / (1.0 + known.get(r["term"], 0)))
+        vectors.setdefault(r["statement"], {})[r["term"]] = r["tf"] * rarity[r["term"]]
     side = F.broadcast(spark.createDataFrame(
         [(names[k], k, t, w / math.sqrt(sum(x * x for x in v.values())))
          for k, v in vectors.items() for t, w in v.items()],
         "license string, statement int, term string, side double"))
 
     block = ["path", "line_no", "n_lines"]
-    held = stage(_blocks(files, _telling(vectors, threshold)).select(
+    held = stage(_blocks(files, _telling(vectors, rarity, threshold)).select(
         *block, F.explode("terms").alias("term")).groupBy(*block, "term").agg(
         F.count(F.lit(1)).alias("tf")), "blocks")
     # A term such as "the" may be in every block: its rows are not shuffled by it.
