@@ -13,6 +13,7 @@ each distinct piece is encoded and divided once.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ from croptide.llm.storage import stage
 from croptide.llm.words import chunks, text_buffers
 
 BLOCK_BYTES = 1 << 20  # text of the documents that are counted together (one at least)
-PIECE_CACHE = 200_000  # pieces that a task remembers, about
+PIECE_CACHE = 200_000  # pieces that a task remembers, and those of a block
 RUN = 2_000  # pieces encoded as one text
 
 # Pieces that begin and end so that others can come before and after them; none holds
@@ -75,8 +76,11 @@ def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nda
 
     Between two neighbouring ends of either side lies one token of each.
     """
-    ends = np.union1d(a_ends, b_ends)
-    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    of_a, of_b = np.zeros((2, int(a_ends[-1]) + 1), dtype=bool)
+    of_a[a_ends], of_b[b_ends] = True, True
+    ends = np.flatnonzero(of_a | of_b)
+    of_a, of_b = of_a[ends], of_b[ends]
+    return np.cumsum(of_a) - of_a, np.cumsum(of_b) - of_b
 
 
 def byte_level_table() -> dict[str, int]:
@@ -91,15 +95,30 @@ def byte_level_table() -> dict[str, int]:
 
 
 @dataclass(slots=True)
-class Piece:
-    """One piece of text, encoded and divided."""
+class Columns:
+    """Encoded and divided pieces, one after another."""
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    links: bytes  # of int64, A's id * 2**32 + B's id
-    text: str  # groups as ``a1,a2|b1;a3|b2;``
-    whole: bool  # both tokenizers give back the bytes
+    counts: np.ndarray  # n_a, n_b, n_groups, n_links of each; zeros: not given back whole
+    links: np.ndarray  # A's id * 2**32 + B's id
+    texts: list[bytes]  # groups as ``a1,a2|b1;a3|b2;``
+
+    @classmethod
+    def joined(cls, parts: list[Columns]) -> Columns:
+        return cls(np.concatenate([p.counts for p in parts]),
+                   np.concatenate([p.links for p in parts]), [t for p in parts for t in p.texts])
+
+    def links_of(self, at: np.ndarray) -> np.ndarray:
+        """The links of the pieces ``at``, one piece after another."""
+        sizes = self.counts[:, 3]
+        return self.links[_ragged((np.cumsum(sizes) - sizes)[at], sizes[at])]
+
+    def take(self, at: np.ndarray) -> Columns:
+        return Columns(self.counts[at], self.links_of(at),
+                       list(map(self.texts.__getitem__, at.tolist())))
+
+
+def _nothing(n: int) -> Columns:
+    return Columns(np.zeros((n, 4), np.int64), np.zeros(0, np.int64), [b""] * n)
 
 
 class Pieces:
@@ -109,6 +128,7 @@ class Pieces:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
         self.a = Tokenizer.from_str(a_definition)
         self.a.no_truncation()
         self.a.no_padding()
@@ -124,68 +144,82 @@ class Pieces:
                 raise ValueError(f"a piece crosses a blank: {piece!r}")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i)
                                 else piece.replace(BLANK, " ").encode())
-        self.a_sizes = np.zeros(max(self.a_bytes) + 1, dtype=np.int64)
-        self.a_sizes[list(self.a_bytes)] = [len(v) for v in self.a_bytes.values()]
-        self.b_sizes = np.array([len(v) for v in self.b_bytes])
+        self.a_bytes = [self.a_bytes.get(i, b"") for i in range(max(self.a_bytes) + 1)]
+        self.a_sizes, self.b_sizes = (np.array([len(v) for v in side])
+                                      for side in (self.a_bytes, self.b_bytes))
         # Each id of A and then of B, as one that isn't and one that is its group's last.
         self.names = [f"{i}{end}" for n, ends in ((len(self.a_sizes), ",|"),
                                                   (len(self.b_sizes), ",;"))
                       for i in range(n) for end in ends]
-        self.recent: dict[bytes, Piece] = {}
-        self.older: dict[bytes, Piece] = {}
+        self.name_sizes = np.array([len(n) for n in self.names])
+        self.place: dict[bytes, int] = {}  # of the remembered pieces, in their order
+        self.known = _nothing(0)
+        self.used, self.calls = np.zeros(0, np.int64), 0  # the last call that asked for each
 
-    def encode(self, keys: list[bytes]) -> list[Piece]:
+    def encode(self, keys: list[bytes]) -> tuple[Columns, np.ndarray]:
         """Pieces that start with a blank, which B adds itself, or with a line feed.
 
-        Pieces used lately are remembered, in two generations: what is not used
-        while one fills up is forgotten with it.
+        Returns columns and where each of ``keys`` is in them. Pieces are remembered
+        for the next calls, but long ones; when they are too many, the half of
+        ``PIECE_CACHE`` that was used last stays.
         """
-        found: dict[bytes, Piece] = {}
-        together, alone = [], []
-        for key in keys:
-            piece = self.recent.get(key) or self.older.get(key)
-            if piece:
-                found[key] = self.recent[key] = piece
-            else:
-                (together if _JOINS.fullmatch(key) else alone).append(key)
+        self.calls += 1
+        if len(self.place) > PIECE_CACHE:
+            stay = np.sort(np.argsort(self.used, kind="stable")[-(PIECE_CACHE // 2):])
+            kept = list(map(list(self.place).__getitem__, stay.tolist()))
+            self.place = dict(zip(kept, range(len(kept)), strict=True))
+            self.known, self.used = self.known.take(stay), self.used[stay]
+        new = dict.fromkeys([k for k in keys if k not in self.place])
+        together = list(filter(_JOINS.fullmatch, new))
+        alone = [k for k in new if not _JOINS.fullmatch(k)] if len(together) < len(new) else []
+        parts, order = [self.known], []
         for at in range(0, len(together), RUN):
             run = together[at:at + RUN]
-            pieces = self._run(run)
-            if pieces is None:
-                alone += run
+            made = self._run(run)
+            if made:
+                parts.append(made)
+                order += run
             else:
-                found.update(zip(run, pieces, strict=True))
-        for key in alone:
-            found[key] = self._alone(key)
-        self.recent.update((k, found[k]) for k in together)
-        if len(self.recent) > PIECE_CACHE // 2:
-            self.recent, self.older = {}, self.recent
-        return [found[k] for k in keys]
+                alone += run
+        if order:
+            self.place.update(zip(order, range(len(self.place), len(self.place) + len(order)),
+                                  strict=True))
+            self.known = Columns.joined(parts)
+            self.used = np.append(self.used, np.zeros(len(order), np.int64))
+        place, every = self.place, self.known
+        if alone:
+            every = Columns.joined([every, *map(self._alone, alone)])
+            rest = dict(zip(alone, range(len(place), len(place) + len(alone)), strict=True))
+            at = np.array([place[k] if k in place else rest[k] for k in keys], dtype=np.int64)
+        else:
+            at = np.array(list(map(place.__getitem__, keys)), dtype=np.int64)
+        self.used[at[at < len(place)]] = self.calls
+        return every, at
 
     def _ids(self, text: str) -> tuple[list[int], list[int]]:
-        a = self.a.encode(text, add_special_tokens=False).ids
+        # This call of the library computes no offsets, which nothing here needs.
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
         if text[0] == " ":
             return a, self.b.encode(text[1:], num_threads=1)
         # The blank that B puts before a line feed is a token of its own.
         return a, self.b.encode(text, num_threads=1)[1:]
 
-    def _alone(self, key: bytes) -> Piece:
-        made = self._pieces([key], *self._ids(key.decode("utf-8", "replace")))
-        return made[0] if made else Piece(0, 0, 0, b"", "", False)
+    def _alone(self, key: bytes) -> Columns:
+        return self._divided([key], *self._ids(key.decode("utf-8", "replace"))) or _nothing(1)
 
-    def _run(self, keys: list[bytes]) -> list[Piece] | None:
+    def _run(self, keys: list[bytes]) -> Columns | None:
         try:
-            return self._pieces(keys, *self._ids(b"".join(keys).decode()))
+            return self._divided(keys, *self._ids(b"".join(keys).decode()))
         except UnicodeDecodeError:
             return None
 
-    def _pieces(self, keys: list[bytes], a: list[int], b: list[int]) -> list[Piece] | None:
+    def _divided(self, keys: list[bytes], a: list[int], b: list[int]) -> Columns | None:
         """Pieces that follow each other in one text; None if its tokens are not those of theirs."""
         whole = b"".join(keys)
-        if (b"".join([self.a_bytes[i] for i in a]) != whole
-                or b"".join([self.b_bytes[i] for i in b]) != whole):
+        if (b"".join(map(self.a_bytes.__getitem__, a)) != whole
+                or b"".join(map(self.b_bytes.__getitem__, b)) != whole):
             return None
-        a, b = np.array(a), np.array(b)
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         in_a, in_b = shared_ends(a_ends, b_ends)
         bounds = np.cumsum([len(k) for k in keys])
@@ -193,26 +227,21 @@ class Pieces:
         if (a_ends[in_a[last]] != bounds).any():
             return None
         x, y = overlaps(a_ends, b_ends)
-        links = (a[x] << 32 | b[y]).tobytes()
-        link_ends = np.searchsorted(np.union1d(a_ends, b_ends), bounds, "right") * 8
         # Names in the order of groups, A's before B's, each with what follows it.
         ends_a, ends_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
         ends_a[in_a], ends_b[in_b] = True, True
-        codes = np.concatenate([a * 2 + ends_a, 2 * len(self.a_sizes) + b * 2 + ends_b])
-        group = np.concatenate([2 * np.searchsorted(in_a, np.arange(len(a))),
-                                2 * np.searchsorted(in_b, np.arange(len(b))) + 1])
-        order = codes[np.argsort(group, kind="stable")].tolist()
-        names = list(map(self.names.__getitem__, order))
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + np.append(0, in_b + 1)[np.cumsum(ends_a) - ends_a]] = (
+            a * 2 + ends_a)
+        order[np.arange(len(b)) + (in_a + 1)[np.cumsum(ends_b) - ends_b]] = (
+            2 * len(self.a_sizes) + b * 2 + ends_b)
+        names = "".join(map(self.names.__getitem__, order.tolist())).encode()
         to_a, to_b = in_a[last] + 1, in_b[last] + 1
-        rows = zip(np.diff(to_a, prepend=0).tolist(), np.diff(to_b, prepend=0).tolist(),
-                   np.diff(last, prepend=-1).tolist(), link_ends.tolist(),
-                   (to_a + to_b).tolist(), strict=True)
-        out, at, link = [], 0, 0
-        for n_a, n_b, n_groups, link_end, end in rows:
-            out.append(Piece(n_a, n_b, n_groups, links[link:link_end],
-                             "".join(names[at:end]), True))
-            at, link = end, link_end
-        return out
+        ends = np.cumsum(self.name_sizes[order])[to_a + to_b - 1].tolist()
+        counts = np.diff(np.stack([to_a, to_b, last + 1, np.searchsorted(x, to_a)], axis=1),
+                         axis=0, prepend=0)
+        return Columns(counts, a[x] << 32 | b[y],
+                       [names[i:j] for i, j in zip([0, *ends], ends, strict=False)])
 
 
 def cut_before(data: np.ndarray) -> np.ndarray:
@@ -286,43 +315,55 @@ def _listed(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted, each value once; sorts ``values`` in place."""
+    values.sort()
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the number of each value among them."""
+    coded = pa.array(values).dictionary_encode()
+    found = coded.dictionary.to_numpy()
+    order = np.argsort(found)
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.arange(len(order))
+    return found[order], number[coded.indices.to_numpy()]
+
+
 def _block(number: int, ids: pa.Array, offsets: np.ndarray, data: np.ndarray,
            coder: Pieces) -> pa.RecordBatch:
     """One block: its documents, their pieces as codes, and how many documents hold each pair."""
     texts, first = pieces_of(offsets, data)
     coded = texts.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    pieces = coder.encode(coded.dictionary.to_pylist())
+    pieces = Columns.take(*coder.encode(coded.dictionary.to_pylist()))
+    n_a, n_b, n_groups, sizes = pieces.counts.T
     doc = np.repeat(np.arange(len(ids)), np.diff(first))
-    bad = np.array([not p.whole for p in pieces], dtype=bool)
-    ok = np.bincount(doc, weights=bad[codes], minlength=len(ids)) == 0
+    ok = np.bincount(doc, weights=n_groups[codes] == 0, minlength=len(ids)) == 0
     codes, doc = codes[ok[doc]], doc[ok[doc]]
     counts = np.bincount(doc, minlength=len(ids))
+    ends = np.cumsum(counts)
 
-    def per_doc(values: list[int]) -> pa.Array:
-        each = np.array(values, dtype=np.int64)[codes] if len(codes) else codes
-        total = np.append(0, np.cumsum(each))
-        ends = np.cumsum(counts)
+    def per_doc(values: np.ndarray) -> pa.Array:
+        total = np.append(0, np.cumsum(values[codes]))
         return pa.array(total[ends] - total[ends - counts])
 
-    names = [p.text for p in pieces]
     order, at, digests = codes.tolist(), 0, []
     for n in counts.tolist():
-        own = "".join(map(names.__getitem__, order[at:at + n]))[:-1]
-        digests.append(hashlib.sha256(own.encode()).hexdigest() if n else "")
+        own = b"".join(map(pieces.texts.__getitem__, order[at:at + n]))
+        digests.append(hashlib.sha256(own[:-1]).hexdigest() if n else "")
         at += n
-    sizes = np.array([len(p.links) for p in pieces], dtype=np.int64) // 8
-    flat = np.frombuffer(b"".join([p.links for p in pieces]), np.int64)
-    pairs, local = np.unique(flat, return_inverse=True)
+    pairs, local = _numbered(pieces.links)
     # A document holds a pair once, however often a piece or a link occurs in it.
-    once = np.unique(doc * max(len(pieces), 1) + codes)
-    owner, piece = np.divmod(once, max(len(pieces), 1))
+    owner, piece = np.divmod(_distinct(doc * max(len(sizes), 1) + codes), max(len(sizes), 1))
     links = local[_ragged((np.cumsum(sizes) - sizes)[piece], sizes[piece])]
-    held = np.unique(np.repeat(owner, sizes[piece]) * max(len(pairs), 1) + links)
+    held = _distinct(np.repeat(owner, sizes[piece]) * max(len(pairs), 1) + links)
     per_pair = np.bincount(held % max(len(pairs), 1), minlength=len(pairs))
     docs = pa.StructArray.from_arrays(
-        [ids, per_doc([p.n_a for p in pieces]), per_doc([p.n_b for p in pieces]),
-         per_doc([p.n_groups for p in pieces]), per_doc(sizes.tolist()), pa.array(digests),
+        [ids, per_doc(n_a), per_doc(n_b), per_doc(n_groups), per_doc(sizes), pa.array(digests),
          pa.array(counts)], fields=list(_DOC))
     return pa.RecordBatch.from_arrays(
         [pa.array([number]), _listed(docs), pa.array([_pack(codes)]), pa.array([_pack(local)]),
@@ -378,12 +419,12 @@ def _group_batches(batches: Iterator[pa.RecordBatch], files) -> Iterator[pa.Reco
         for lo, hi in chunks(offsets):
             texts, first = pieces_of(offsets[lo:hi + 1] - offsets[lo],
                                      data[offsets[lo]:offsets[hi]])
-            pieces, out = coder.encode(texts.to_pylist()), []
+            (pieces, places), out = coder.encode(texts.to_pylist()), []
             for k in range(hi - lo):
-                own, groups, at = pieces[first[k]:first[k + 1]], [], 0
-                for p in own if all(p.whole for p in own) else []:
-                    for group in p.text[:-1].split(";"):
-                        x, y = ([int(i) for i in side.split(",")] for side in group.split("|"))
+                own, groups, at = places[first[k]:first[k + 1]], [], 0
+                for p in own.tolist() if pieces.counts[own, 2].all() else []:
+                    for group in pieces.texts[p][:-1].split(b";"):
+                        x, y = ([int(i) for i in side.split(b",")] for side in group.split(b"|"))
                         end = at + sum(len(coder.a_bytes[i]) for i in x)
                         groups.append({"start": at, "end": end, "a": x, "b": y})
                         at = end

@@ -150,6 +150,47 @@ def test_groups_give_back_the_text(spark):
             hashlib.sha256(text.encode()).hexdigest() if groups else "")
 
 
+def test_pieces_are_encoded_once(monkeypatch):
+    """Each piece goes to the libraries once, until it is not among those used last."""
+    with open(FILES[0], encoding="utf-8") as a, open(FILES[1], "rb") as b:
+        files = a.read(), b.read()
+    rng = random.Random(5)
+    vocabulary = [f" {''.join(rng.choices('abcdé', k=4))}{k}".encode() for k in range(90)]
+    odd = [b" a  b", "\n中文".encode(), " ▁".encode(), b" \xff"]
+    coder, seen = alignment.Pieces(*files), []
+    inner = coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda text: seen.append(text) or inner(text))
+    keys = vocabulary[:50] * 3
+    made = coder.encode(keys)
+    assert "".join(seen).encode() == b"".join(vocabulary[:50])
+    pieces, at = made
+    assert pieces.texts[at[0]] == pieces.texts[at[50]]
+    coder.encode(vocabulary[:50])
+    assert len("".join(seen).encode()) == len(b"".join(vocabulary[:50]))
+
+    # Whatever is remembered and forgotten, a piece is what it is alone.
+    monkeypatch.setattr(alignment, "PIECE_CACHE", 40)
+    monkeypatch.setattr(alignment, "RUN", 7)
+    alone = {}
+    for k in [*vocabulary, *odd]:
+        pieces, at = coder.encode([k])
+        alone[k] = pieces.take(at)
+    for _ in range(30):
+        asked = rng.choices([*vocabulary, *odd], k=25)
+        pieces, at = coder.encode(asked)
+        assert len(coder.place) == len(pieces.counts) - len(
+            {k for k in asked if k not in coder.place}) <= 40 + 25
+        for k, own in zip(asked, at, strict=True):
+            want, got = alone[k], pieces.take(np.array([own]))
+            assert got.texts == want.texts
+            assert got.counts.tolist() == want.counts.tolist()
+            assert got.links.tolist() == want.links.tolist()
+    first = coder.encode(asked)[1]
+    seen.clear()
+    coder.encode([k for k in asked if k in coder.place])
+    assert not seen and len(first) == 25
+
+
 def test_division_finds_all_shared_ends():
     rng = random.Random(3)
     for _ in range(500):
