@@ -172,20 +172,15 @@ class Pieces:
         new = dict.fromkeys([k for k in keys if k not in self.place])
         together = list(filter(_JOINS.fullmatch, new))
         alone = [k for k in new if not _JOINS.fullmatch(k)] if len(together) < len(new) else []
-        parts, order = [self.known], []
+        parts = [self.known]
         for at in range(0, len(together), RUN):
             run = together[at:at + RUN]
-            made = self._run(run)
-            if made:
-                parts.append(made)
-                order += run
-            else:
-                alone += run
-        if order:
-            self.place.update(zip(order, range(len(self.place), len(self.place) + len(order)),
-                                  strict=True))
+            parts.append(self._run(run) or Columns.joined([self._alone(k) for k in run]))
+        if together:
+            self.place.update(zip(together, range(len(self.place), len(self.place)
+                                                  + len(together)), strict=True))
             self.known = Columns.joined(parts)
-            self.used = np.append(self.used, np.zeros(len(order), np.int64))
+            self.used = np.append(self.used, np.zeros(len(together), np.int64))
         place, every = self.place, self.known
         if alone:
             every = Columns.joined([every, *map(self._alone, alone)])

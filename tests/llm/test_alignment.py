@@ -167,6 +167,13 @@ def test_pieces_are_encoded_once(monkeypatch):
     assert pieces.texts[at[0]] == pieces.texts[at[50]]
     coder.encode(vocabulary[:50])
     assert len("".join(seen).encode()) == len(b"".join(vocabulary[:50]))
+    with monkeypatch.context() as broken:  # no run gives back its bytes
+        broken.setattr(coder, "_run", lambda keys: None)
+        pieces, at = coder.encode(vocabulary[50:55])
+        assert pieces.counts[at, 2].all()
+        seen.clear()
+        coder.encode(vocabulary[50:55])
+        assert not seen
 
     # Whatever is remembered and forgotten, a piece is what it is alone.
     monkeypatch.setattr(alignment, "PIECE_CACHE", 40)
